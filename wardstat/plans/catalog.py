@@ -387,3 +387,95 @@ def queries() -> dict[str, QueryFn]:
 
 __all__ = ["queries", "QUERIES", "finish", "raw", "wide", "features", "requests", "log", "scored",
            "PAGE_SIZE", "RAW_FIELDS", "SERVING_FEATURES", "WIDE_MEASURE_COLUMNS"]
+
+
+# ---------------------------------------------------------------------------
+# Model-backed queries (rows-only checks: learner output is not SQL)
+# ---------------------------------------------------------------------------
+
+FIXED_PARAMS = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 1.0,
+                "minInstancesPerNode": 1}
+SEARCH_TRIALS = 2
+SEARCH_SPACE_SMALL = {"maxIter": (5, 10, "int"), "maxDepth": (2, 4, "int"),
+                      "stepSize": (0.05, 0.3, "log"), "subsamplingRate": (0.8, 1.0, "float"),
+                      "featureSubsetFraction": (0.8, 1.0, "float"),
+                      "minInstancesPerNode": (1, 5, "int"), "gamma": (0.0, 1.0, "float")}
+_MODELS: dict = {}
+
+
+def trained_model(spark, sf):
+    """Fit (once per process and input folder) and save a model trained on
+    the training split of the feature table; returns the loaded model."""
+    from wardstat.plans import model as MD
+    key = ("fixed", sf)
+    if key not in _MODELS:
+        feats = features(spark, sf)
+        res = MD.train(spark, feats, fixed_params=FIXED_PARAMS)
+        path = scratch_dir(spark, "model")
+        MD.save_model(spark, res, path, MD.fit_vocabulary(feats), version="1")
+        _MODELS[key] = (res, MD.load_model(spark, path), path)
+    return _MODELS[key]
+
+
+def _score(spark, sf, log_path=None):
+    from wardstat.plans import score as SC
+    _, lm, _ = trained_model(spark, sf)
+    return SC.score_batch(spark, lm, requests(spark, sf), log_path=log_path, batch_id=1)
+
+
+@query("top_importances")
+def q_top_importances(spark, sf):
+    from wardstat.plans import model as MD
+    res, _, _ = trained_model(spark, sf)
+    return MD.top_importances(MD.importance_frame(spark, res.importances), 20)
+
+
+@query("score_batch")
+def q_score_batch(spark, sf):
+    return _score(spark, sf).responses
+
+
+@query("batch_guard_summary")
+def q_batch_guard_summary(spark, sf):
+    return _score(spark, sf).summary
+
+
+@query("prediction_log_rows")
+def q_prediction_log_rows(spark, sf):
+    out = scratch_dir(spark, "log")
+    _score(spark, sf, log_path=out)
+    return spark.read.parquet(out).drop("timestamp", "log_date")
+
+
+@query("best_trial")
+def q_best_trial(spark, sf):
+    from wardstat.plans import model as MD
+    res = MD.train(spark, features(spark, sf), n_trials=SEARCH_TRIALS, space=SEARCH_SPACE_SMALL)
+    return MD.best_trial(MD.trial_frame(spark, "run", res.trials))
+
+
+@query("run_log")
+def q_run_log(spark, sf):
+    from wardstat.plans import model as MD
+    res, _, _ = trained_model(spark, sf)
+    out = scratch_dir(spark, "runs")
+    MD.run_record(spark, MD.new_run_id(), res, 0).write.mode("append").parquet(out)
+    return spark.read.parquet(out).drop("logged_at", "run_id")
+
+
+@query("artifact_freshness")
+def q_artifact_freshness(spark, sf):
+    _, _, path = trained_model(spark, sf)
+    return FI.artifact_freshness(spark, {"model": path}).select(
+        "artifact", (F.col("last_modified") != "missing").alias("present"))
+
+
+@query("ingest_stream")
+def q_ingest_stream(spark, sf):
+    """Pages landed from the raw rows, ingested by the incremental stream."""
+    from wardstat.streaming.ingest import ingest_pages
+    land = scratch_dir(spark, "landing")
+    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), land, ["l_orderkey", "l_linenumber"])
+    out, ck = scratch_dir(spark, "ingested"), scratch_dir(spark, "ingest-ckpt")
+    ingest_pages(spark, land, out, ck)
+    return spark.read.parquet(out)

@@ -275,6 +275,7 @@ def build() -> dict[str, str]:
 
     q["scan_raw"] = with_(RAW) + f"SELECT {raw_cols} FROM raw"
     q["ingest_pages"] = q["scan_raw"]
+    q["ingest_stream"] = q["scan_raw"]
     q["ingest_capped"] = with_(RAW) + (
         f"SELECT {raw_cols} FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS rn FROM raw) "
         f"WHERE ((rn - 1) // 500) * 500 < 1200")
