@@ -1,11 +1,11 @@
 """Long -> wide: one row per hospital, 6 measures x 4 metrics.
 
-The whole pivot is one conditional aggregation grouped by `facility_id`:
-24 `avg(CASE WHEN measure_short = m THEN value END)` plus `min` of name and
-state. Spark plans it as partial (map-side) + final hash aggregation with a
-single exchange, so a hospital with a huge number of rows is pre-aggregated
-in every map task before it is shuffled. `groupBy().pivot()` would compute
-the same thing with two exchanges.
+The pivot is a conditional aggregation: 24
+`avg(CASE WHEN measure_short = m THEN value END)` plus `min` of name and
+state per hospital. Spark plans the heavy level as partial (map-side) +
+final hash aggregation, so a hospital with a huge number of rows is
+pre-aggregated in every map task before it is shuffled.
+`groupBy().pivot()` would scan and shuffle the long table twice.
 """
 
 from __future__ import annotations
@@ -16,13 +16,29 @@ from pyspark.sql import functions as F
 from wardstat.schemas import MEASURES, METRIC_SUFFIX, WIDE_MEASURE_COLUMNS
 
 
-def _measure_aggs() -> list:
-    aggs = []
+def _measure_sums() -> list:
+    """Level 1: sum and count of each raw metric (8 fixed-width buffers)."""
+    out = []
+    for raw in METRIC_SUFFIX:
+        out.append(F.sum(raw).alias(f"_s_{raw}"))
+        out.append(F.count(raw).alias(f"_n_{raw}"))
+    return out
+
+
+def _spread() -> list:
+    """Level 2: spread the per-measure buffers into 24 sum/count pairs."""
+    out = []
     for raw, suffix in METRIC_SUFFIX.items():
         for m in MEASURES:
-            aggs.append(F.avg(F.when(F.col("measure_short") == F.lit(m), F.col(raw)))
-                        .alias(f"{m}_{suffix}"))
-    return aggs
+            hit = F.col("measure_short") == F.lit(m)
+            out.append(F.sum(F.when(hit, F.col(f"_s_{raw}"))).alias(f"_s_{m}_{suffix}"))
+            out.append(F.sum(F.when(hit, F.col(f"_n_{raw}"))).alias(f"_n_{m}_{suffix}"))
+    return out
+
+
+def _averages() -> list:
+    return [F.when(F.col(f"_n_{c}") > 0, F.col(f"_s_{c}") / F.col(f"_n_{c}")).alias(c)
+            for c in WIDE_MEASURE_COLUMNS]
 
 
 def _meta_aggs() -> list:
@@ -40,23 +56,43 @@ def pivot_wide(clean: DataFrame) -> DataFrame:
 
     Null `facility_id` rows are dropped (grouping drops null keys) and a
     hospital whose 24 values are all missing disappears.
+
+    Two levels:
+    1. group by (facility_id, facility_name, state, measure_short): sum and
+       count of the four metrics -- a hash aggregation with map-side
+       partial aggregation over the raw rows and only 8 fixed-width
+       buffers, so a hospital with a third of all rows is pre-aggregated
+       in every map task and the generated code stays small;
+    2. group the at most 6 x (name/state variants) rows per hospital by
+       facility_id: min of name and state, 24 conditional sums of the
+       buffers; average = sum / count.
+    String `min` in the first level would force a sort-based aggregation
+    of every raw row; here it only sees the small second level.
     """
-    return (clean.filter(F.col("facility_id").isNotNull())
-            .groupBy("facility_id")
-            .agg(*_meta_aggs(), *_measure_aggs())
+    per_measure = (clean.filter(F.col("facility_id").isNotNull())
+                   .groupBy("facility_id", "facility_name", "state", "measure_short")
+                   .agg(*_measure_sums()))
+    merged = per_measure.groupBy("facility_id").agg(*_meta_aggs(), *_spread())
+    return (merged.select("facility_id", "facility_name", "state", *_averages())
             .filter(_any_value(WIDE_MEASURE_COLUMNS)))
 
 
 def facility_meta(clean: DataFrame) -> DataFrame:
-    """First non-null name and state per hospital (deterministic `min`)."""
+    """First non-null name and state per hospital (deterministic `min`).
+
+    Distinct (id, name, state) first -- a hash aggregation on string keys
+    -- so the string `min` only sees a few rows per hospital."""
     return (clean.filter(F.col("facility_id").isNotNull())
+            .select("facility_id", "facility_name", "state").distinct()
             .groupBy("facility_id").agg(*_meta_aggs()))
 
 
 def wide_metrics(clean: DataFrame) -> DataFrame:
     """The 24 metric columns per hospital, without metadata."""
-    return (clean.filter(F.col("facility_id").isNotNull())
-            .groupBy("facility_id").agg(*_measure_aggs())
+    per_measure = (clean.filter(F.col("facility_id").isNotNull())
+                   .groupBy("facility_id", "measure_short").agg(*_measure_sums()))
+    return (per_measure.groupBy("facility_id").agg(*_spread())
+            .select("facility_id", *_averages())
             .filter(_any_value(WIDE_MEASURE_COLUMNS)))
 
 

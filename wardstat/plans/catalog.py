@@ -26,7 +26,7 @@ from wardstat.schemas import (
     FEATURE_TABLE_COLUMNS, MODEL_FEATURES, PAGE_SIZE, RAW_FIELDS, SERVING_FEATURES, TARGET,
     WIDE_MEASURE_COLUMNS,
 )
-from wardstat.session import scratch_dir
+from wardstat.session import apply_query_settings, scratch_dir
 from wardstat.sources import derived as D
 from wardstat.sources import files as FI
 from wardstat.sources import pages as PG
@@ -49,7 +49,10 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def query(name: str):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = lambda spark, sf_dir: finish(fn(spark, sf_dir))
+        def run(spark, sf_dir):
+            apply_query_settings(spark)
+            return finish(fn(spark, sf_dir))
+        QUERIES[name] = run
         QUERIES[name].__doc__ = fn.__doc__
         return fn
     return deco
