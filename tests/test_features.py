@@ -137,3 +137,13 @@ def test_completeness_and_balance(feats):
     cw = Q.class_weight(feats).first()
     assert cw["scale_pos_weight"] == 3.0
     assert Q.class_weight(feats.filter("high_readmission_risk = 0")).first()["scale_pos_weight"] == 1.0
+
+
+def test_build_features_plan(spark, raw, tmp):
+    from wardstat.plans.feature_build import build_features
+    raw.write.parquet(f"{tmp}/raw")
+    res = build_features(spark, f"{tmp}/raw", f"{tmp}/features")
+    got = sorted(r["facility_id"] for r in res.features.collect())
+    assert got == ["H0000", "H0001", "H0002", "H0003"]
+    assert res.rules.filter(~F.col("ok")).count() == 0
+    assert res.report.first()["n_hospitals"] == 6  # H0000..H0005; the null id is not counted

@@ -60,17 +60,21 @@ def state_vocabulary(df: DataFrame) -> DataFrame:
 
 
 def encode_state(df: DataFrame, vocabulary: DataFrame | None = None,
-                 max_broadcast: int = MAX_BROADCAST_VOCAB) -> DataFrame:
+                 check_size: bool = False, max_broadcast: int = MAX_BROADCAST_VOCAB) -> DataFrame:
     """Add `state_encoded`: rank of the state among the sorted distinct states.
 
-    The vocabulary is fitted on `df` unless given. It is broadcast only after
-    its size is checked (one count over the distinct states); beyond the
-    bound the join is a plain shuffle join, which is not skewed then because
-    the states are many.
+    The vocabulary is fitted on `df` unless given. With `check_size` (use it
+    when the vocabulary is stored or `df` is materialised, so the count is
+    cheap) it is counted and broadcast when within `max_broadcast` rows.
+    Otherwise the join is left to AQE, which measures the vocabulary's
+    shuffle output at run time and switches to a broadcast join when it is
+    small; if it were large (many states) the sort-merge join stays, and it
+    is not skewed then, with AQE's skew split as a further guard.
     """
     vocab = vocabulary if vocabulary is not None else state_vocabulary(df)
-    n = vocab.count()
-    right = F.broadcast(vocab) if n <= max_broadcast else vocab
+    right = vocab
+    if check_size and vocab.count() <= max_broadcast:
+        right = F.broadcast(vocab)
     return (df.withColumn("state_key", state_key())
             .join(right, "state_key", "left")
             .drop("state_key"))

@@ -49,7 +49,8 @@ def binary_metrics(scored: DataFrame, label: str = "label", score: str = "score"
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
-            by: list[str] | None = None, n_buckets: int = 256) -> DataFrame:
+            by: list[str] | None = None, n_buckets: int = 256,
+            checkpoint: bool = True) -> DataFrame:
     """Exact ROC AUC with ties counted half, per `by` group.
 
     1. pos / neg counts per distinct score (partial aggregation, so a score
@@ -57,11 +58,17 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
     2. running sum of negatives below each score, bucketed by approximate
        score quantiles;
     3. AUC = sum(pos * (neg_below + neg / 2)) / (P * N); NULL if P or N is 0.
+
+    The per-score table (one row per distinct score and group) is
+    checkpointed to the shared checkpoint folder: the quantile bounds and
+    the running sums both read it instead of recomputing the input.
     """
     by = list(by or [])
     per_score = (scored.groupBy(*by, score)
                  .agg(F.count_if(F.col(label) == 1).cast("double").alias("pos"),
                       F.count_if(F.col(label) != 1).cast("double").alias("neg")))
+    if checkpoint:
+        per_score = per_score.checkpoint(eager=True)
     bucket = quantile_bucket(per_score, score, n_buckets)
     run = prefix_sums(per_score, [F.col(score)], {"neg_below": F.col("neg")}, bucket, by)
     return (run.groupBy(*by)

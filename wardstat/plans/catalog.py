@@ -299,9 +299,9 @@ def q_classification_report(spark, sf):
 
 
 def _fold_scores(spark, sf):
-    folds = (R.stratified_split(features(spark, sf)).filter(F.col("split") == "train")
-             .select("facility_id", "fold"))
-    return scored(spark, sf).join(folds, "facility_id", "inner")
+    """Scores of the training split with their fold (one feature table)."""
+    train = R.stratified_split(features(spark, sf)).filter(F.col("split") == "train")
+    return D.scored_labels(train, keep=["fold"])
 
 
 @query("fold_auc")

@@ -141,11 +141,12 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scored_labels(features: DataFrame) -> DataFrame:
+def scored_labels(features: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """(facility_id, label, score) with a 3-decimal score from the AMI ratio;
-    rows without that ratio are dropped. Three decimals give score ties."""
+    rows without that ratio are dropped. Three decimals give score ties.
+    `keep` carries further columns (e.g. the fold)."""
     score = F.round(F.least(F.lit(1.0), F.greatest(
         F.lit(0.0), (F.col("ami_excess_ratio") - F.lit(RATIO_BASE)) / F.lit(0.58))), 3)
     return (features.filter(F.col("ami_excess_ratio").isNotNull())
-            .select("facility_id", F.col("high_readmission_risk").alias("label"),
+            .select("facility_id", *(keep or []), F.col("high_readmission_risk").alias("label"),
                     score.alias("score")))
