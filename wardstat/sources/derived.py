@@ -57,7 +57,7 @@ def hrrp_raw(spark: SparkSession, sf_dir: str, with_order_keys: bool = False) ->
 
     Join order: orders x customer (x nation) first, then line items, so the
     largest table is shuffled once, on the order key. Spark picks broadcast
-    for the small sides from their file sizes (autoBroadcastJoinThreshold)
+    for customer and nation from their file sizes (autoBroadcastJoinThreshold)
     and sort-merge joins beyond that.
     """
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
@@ -70,7 +70,10 @@ def hrrp_raw(spark: SparkSession, sf_dir: str, with_order_keys: bool = False) ->
     oc = (o.join(c, o.o_custkey == c.c_custkey, "inner")
           .join(n, c.c_nationkey == n.n_nationkey, "inner")
           .select("o_orderkey", "c_custkey", "c_name", "n_nationkey"))
-    j = li.join(oc, li.l_orderkey == oc.o_orderkey, "inner")
+    # Line items x orders is a shuffle (sort-merge) join, as it is at any
+    # real size: the per-row derivation below then runs in every reducer
+    # instead of inside the (possibly single) scan task of line items.
+    j = li.join(oc.hint("merge"), li.l_orderkey == oc.o_orderkey, "inner")
 
     key = F.col("c_custkey")
     ln = F.col("l_linenumber")
