@@ -125,3 +125,15 @@ def cv_summary(fold_scores: DataFrame, metric: str = "auc", by: list[str] | None
         F.avg(metric).alias(f"cv_{metric}_mean"),
         F.stddev_pop(metric).alias(f"cv_{metric}_std"),
     )
+
+
+def metric_table(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Evaluation metrics as rows (metric, value, band) -- AUC, F1,
+    precision, recall, Brier -- with the display band of each value."""
+    from wardstat.functions.tiers import metric_band
+
+    counts = binary_metrics(scored, label, score).selectExpr(
+        "stack(4, 'f1', f1, 'precision', precision, 'recall', recall, "
+        "'brier_score', brier_score) AS (metric, value)")
+    auc = roc_auc(scored, label, score).select(F.lit("auc").alias("metric"), F.col("auc").alias("value"))
+    return auc.unionByName(counts).withColumn("band", metric_band("value"))

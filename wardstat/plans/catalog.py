@@ -298,6 +298,11 @@ def q_classification_report(spark, sf):
     return M.classification_report(scored(spark, sf))
 
 
+@query("metric_bands")
+def q_metric_bands(spark, sf):
+    return M.metric_table(scored(spark, sf))
+
+
 def _fold_scores(spark, sf):
     """Scores of the training split with their fold (one feature table)."""
     train = R.stratified_split(features(spark, sf)).filter(F.col("split") == "train")

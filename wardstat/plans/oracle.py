@@ -380,6 +380,14 @@ def build() -> dict[str, str]:
     q["classification_report"] = with_(*BASE_FEAT, SCORED, _confusion("scored"), per) + "\nUNION ALL\n".join(
         f"SELECT {a} AS class_name, {r(d(b))} AS precision, {r(d(c))} AS recall, {r(d(e))} AS f1, "
         f"CAST({s} AS BIGINT) AS support FROM per" for a, b, c, e, s in rows)
+    band = lambda v: f"CASE WHEN {v} >= {d(0.75)} THEN 'good' WHEN {v} >= {d(0.5)} THEN 'fair' ELSE 'poor' END"
+    mt = ("mt AS (SELECT 'auc' AS metric, auc AS value FROM auc UNION ALL "
+          f"SELECT 'f1', {ratio('2 * tp', '2 * tp + fp + fn')} FROM cm UNION ALL "
+          f"SELECT 'precision', {ratio('tp', 'tp + fp')} FROM cm UNION ALL "
+          f"SELECT 'recall', {ratio('tp', 'tp + fn')} FROM cm UNION ALL "
+          "SELECT 'brier_score', brier_score FROM cm)")
+    q["metric_bands"] = with_(*BASE_FEAT, SCORED, _confusion("scored"), _auc_sql("scored", []), mt) + (
+        f"SELECT metric, round(value, 6) AS value, {band('value')} AS band FROM mt")
     q["fold_auc"] = with_(*BASE_FEAT, SCORED, SPLIT, FOLD_SCORED, _auc_sql("fscored", ["fold"])) + (
         "SELECT fold, round(auc, 6) AS auc FROM auc")
     q["cv_summary"] = with_(*BASE_FEAT, SCORED, SPLIT, FOLD_SCORED, _auc_sql("fscored", ["fold"])) + (

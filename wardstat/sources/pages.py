@@ -54,3 +54,10 @@ def read_pages(spark: SparkSession, path: str, max_rows: int | None = None,
     if max_rows is not None:
         pages = pages.filter(F.col("offset") < F.lit(int(max_rows)))
     return pages.select(F.explode("results").alias("r")).select(*[F.col(f"r.{c}") for c in RAW_FIELDS])
+
+
+def append_rows(existing: DataFrame | None, new: DataFrame) -> DataFrame:
+    """Union by name; a column missing on one side comes back as NULL."""
+    if existing is None:
+        return new
+    return existing.unionByName(new, allowMissingColumns=True)
