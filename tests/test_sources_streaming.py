@@ -99,3 +99,11 @@ def test_artifact_freshness(spark, tmp):
     out = {r["artifact"]: r["last_modified"] for r in
            FI.artifact_freshness(spark, {"features": f"{tmp}/feat", "model": f"{tmp}/nope"}).collect()}
     assert out["model"] == "missing" and len(out["features"]) == 16
+
+
+def test_append_rows_union_by_name(spark):
+    a = spark.createDataFrame([("1", "x")], "facility_id string, state string")
+    b = spark.createDataFrame([("2", "y")], "facility_id string, measure_name string")
+    out = PG.append_rows(PG.append_rows(None, a), b)
+    rows = {r["facility_id"]: r for r in out.collect()}
+    assert rows["1"]["measure_name"] is None and rows["2"]["state"] is None
