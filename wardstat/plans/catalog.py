@@ -189,6 +189,16 @@ def q_feature_table(spark, sf):
     return features(spark, sf)
 
 
+@query("feature_build")
+def q_feature_build(spark, sf):
+    """End-to-end build: raw rows landed as parquet, then the batch plan
+    (checkpointed wide table, size-checked vocabulary, write, validate)."""
+    from wardstat.plans.feature_build import build_features
+    raw_path, out_path = scratch_dir(spark, "raw"), scratch_dir(spark, "features")
+    FI.write_parquet(raw(spark, sf), raw_path)
+    return build_features(spark, raw_path, out_path).features
+
+
 @query("model_input")
 def q_model_input(spark, sf):
     return FE.model_input(features(spark, sf))

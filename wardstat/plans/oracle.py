@@ -298,6 +298,7 @@ def build() -> dict[str, str]:
     q["encode_state"] = with_(RAW, COERCED, CLEAN, WIDE, AGG, ENC) + "SELECT facility_id, state, state_encoded FROM enc"
     q["labelled"] = with_(*BASE_FEAT) + f"SELECT facility_id, {r('mean_excess_ratio', 'mean_excess_ratio')}, {TARGET} FROM feat"
     q["feature_table"] = with_(*BASE_FEAT) + f"SELECT {sel(FEATURE_TABLE_COLUMNS, DOUBLE_FEATURES)} FROM feat"
+    q["feature_build"] = q["feature_table"]
     q["model_input"] = with_(*BASE_FEAT) + f"SELECT {sel(MODEL_FEATURES, DOUBLE_FEATURES)} FROM feat"
 
     q["state_codes"] = with_(RAW, COERCED, CLEAN, WIDE, REQ) + (
