@@ -127,3 +127,38 @@ def assemble_features(requests: DataFrame, keep: list[str] | None = None) -> Dat
     cols += [serving_state_code("state").cast("double").alias("state_encoded")]
     out = requests.select(*cols)
     return out.select(*keep, *SERVING_FEATURES)
+
+
+METRIC_TEMPLATES = {
+    "excess_ratio": "observed / expected 30-day readmissions for {m}; above 1.0 is worse than expected",
+    "predicted_rate": "predicted 30-day readmission rate (%) for {m}",
+    "expected_rate": "expected 30-day readmission rate (%) for {m} given the case mix",
+    "discharges": "eligible discharges for {m} in the measurement period",
+}
+AGGREGATE_DESCRIPTIONS = {
+    "mean_excess_ratio": "mean excess ratio over the reported measures",
+    "max_excess_ratio": "highest excess ratio over the reported measures",
+    "min_excess_ratio": "lowest excess ratio over the reported measures",
+    "n_measures_over_threshold": "number of measures with an excess ratio above 1.0",
+    "n_valid_measures": "number of measures with an excess ratio",
+    "mean_predicted_rate": "mean predicted readmission rate over the reported measures",
+    "total_discharges": "eligible discharges summed over the six measures",
+    "state_encoded": "state code (rank of the state among the sorted states)",
+}
+
+
+def feature_descriptions() -> list[tuple[str, str]]:
+    """(feature, description) for every model-side feature, built from the
+    measure labels and one template per metric."""
+    from wardstat.schemas import MEASURE_LABELS, MEASURES, METRICS
+    rows = [(f"{m}_{s}", METRIC_TEMPLATES[s].format(m=MEASURE_LABELS[m]))
+            for m in MEASURES for s in METRICS]
+    return rows + list(AGGREGATE_DESCRIPTIONS.items())
+
+
+def feature_dictionary(columns: DataFrame, name_col: str = "column_name") -> DataFrame:
+    """Left-join a per-feature frame to the description dimension (a fixed
+    32-row table, broadcast); unknown names get an empty description."""
+    dim = columns.sparkSession.createDataFrame(feature_descriptions(), f"{name_col} string, description string")
+    return (columns.join(F.broadcast(dim), name_col, "left")
+            .withColumn("description", F.coalesce(F.col("description"), F.lit(""))))

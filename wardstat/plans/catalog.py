@@ -242,6 +242,12 @@ def q_completeness(spark, sf):
     return Q.completeness(features(spark, sf), cols)
 
 
+@query("feature_dictionary")
+def q_feature_dictionary(spark, sf):
+    cols = [c for c in FEATURE_TABLE_COLUMNS if c not in ("facility_id", "facility_name", "state", TARGET)]
+    return FE.feature_dictionary(Q.completeness(features(spark, sf), cols))
+
+
 @query("validate_features")
 def q_validate_features(spark, sf):
     return Q.feature_rules(features(spark, sf))

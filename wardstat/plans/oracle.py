@@ -326,6 +326,17 @@ def build() -> dict[str, str]:
         f"{r(f'CASE WHEN count(*) > 0 THEN count({c}) * {d(100.0)} / count(*) END', 'pct_non_null')} FROM feat"
         for c in comp_cols)
 
+    from wardstat.operators.features import feature_descriptions
+    dim = " UNION ALL ".join("SELECT '{}' AS column_name, '{}' AS description".format(
+        f, t.replace("'", "''")) for f, t in feature_descriptions())
+    comp = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count({c}) AS non_null, count(*) AS total, "
+        f"{r(f'CASE WHEN count(*) > 0 THEN count({c}) * {d(100.0)} / count(*) END', 'pct_non_null')} FROM feat"
+        for c in comp_cols)
+    q["feature_dictionary"] = with_(*BASE_FEAT, f"comp AS ({comp})", f"dim AS ({dim})") + (
+        "SELECT c.column_name, c.non_null, c.total, c.pct_non_null, coalesce(d.description, '') AS description "
+        "FROM comp c LEFT JOIN dim d ON c.column_name = d.column_name")
+
     rules = []
     for c in ["facility_id", "state_encoded", "mean_excess_ratio", "n_valid_measures", TARGET]:
         rules.append(("not_null", c, f"CAST(count_if({c} IS NULL) AS DOUBLE)", 0.0, 0.0))

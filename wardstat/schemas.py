@@ -122,6 +122,17 @@ FEATURE_TABLE_COLUMNS: list[str] = (
 )
 MODEL_FEATURES: list[str] = [c for c in FEATURE_TABLE_COLUMNS if c not in DROP_COLUMNS]
 
+# Display names of the measures for feature descriptions (our own wording,
+# not a value that results depend on).
+MEASURE_LABELS: dict[str, str] = {
+    "ami": "heart attack (AMI)",
+    "cabg": "bypass surgery (CABG)",
+    "copd": "COPD",
+    "hf": "heart failure",
+    "hip_knee": "hip/knee replacement",
+    "pn": "pneumonia",
+}
+
 # ---------------------------------------------------------------------------
 # Struct types
 # ---------------------------------------------------------------------------
