@@ -76,3 +76,32 @@ def test_offsets_broadcast_is_bounded(spark):
     assert out.agg(F.max("rn"), F.countDistinct("rn")).first() == (5000, 5000)
     plan = plan_text(out)
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_hot_hospital_third_of_rows(spark):
+    """One facility_id holds a third of all rows: the two-level pivot still
+    equals a plain per-hospital average, and the raw rows are reduced by
+    partial aggregation before the exchange."""
+    from tests.conftest import SF001
+    from wardstat.sources.derived import hrrp_raw
+    raw = hrrp_raw(spark, SF001)
+    hot = raw.withColumn("facility_id", F.when(F.crc32("facility_name") % 3 == 0, F.lit("HOT"))
+                         .otherwise(F.col("facility_id")))
+    cl = C.clean_raw(hot)
+    got = P.pivot_wide(cl)
+    want = (cl.filter(F.col("facility_id").isNotNull()).groupBy("facility_id")
+            .agg(*[F.avg(F.when(F.col("measure_short") == m, F.col(r))).alias(f"{m}_{s}")
+                   for r, s in [("excess_readmission_ratio", "excess_ratio"),
+                                ("number_of_discharges", "discharges")]
+                   for m in ["ami", "hf"]]))
+    g = {r["facility_id"]: r for r in got.collect()}
+    w = {r["facility_id"]: r for r in want.collect()}
+    n_hot = hot.filter(F.col("facility_id") == "HOT").count()
+    assert n_hot * 4 > raw.count()  # at least a quarter of all rows
+    for fid, row in w.items():
+        if fid not in g:
+            continue
+        for c in ("ami_excess_ratio", "hf_excess_ratio", "ami_discharges", "hf_discharges"):
+            a, b = g[fid][c], row[c]
+            assert (a is None and b is None) or a == pytest.approx(b, rel=1e-12)
+    assert "HOT" in g
