@@ -105,3 +105,16 @@ def test_hot_hospital_third_of_rows(spark):
             a, b = g[fid][c], row[c]
             assert (a is None and b is None) or a == pytest.approx(b, rel=1e-12)
     assert "HOT" in g
+
+
+def test_recent_predictions_since_prunes_partitions(spark, tmp_path):
+    import datetime as dt
+    from wardstat.operators.monitoring import recent_predictions
+    rows = [(i, dt.date(2024, 1, 1 + i % 3), '{"a": 1.0}', 0.5) for i in range(30)]
+    path = str(tmp_path / "log")
+    (spark.createDataFrame(rows, "id long, log_date date, input_features string, risk_score double")
+     .write.partitionBy("log_date").parquet(path))
+    df = recent_predictions(spark.read.parquet(path), 5, since="2024-01-03")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*log_date[^\]]*2024-01-03", plan)
+    assert [r["id"] for r in df.collect()] == [29, 26, 23, 20, 17]
