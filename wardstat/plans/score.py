@@ -76,6 +76,12 @@ class BatchResult:
     responses: DataFrame
     rejected: DataFrame
     summary: DataFrame
+    scored: DataFrame | None = None
+
+    def release(self) -> None:
+        """Drop the cached scored frame once every sink has consumed it."""
+        if self.scored is not None:
+            self.scored.unpersist()
 
 
 def log_rows(scored: DataFrame, requests: DataFrame, batch_id: int, model_version: str) -> DataFrame:
@@ -129,4 +135,4 @@ def score_batch(spark: SparkSession, model: LoadedModel, requests: DataFrame,
     if results_path:
         responses.write.mode("overwrite").parquet(results_path)
     summary = batch_summary(responses)
-    return BatchResult(responses=responses, rejected=rejected, summary=summary)
+    return BatchResult(responses=responses, rejected=rejected, summary=summary, scored=scored)

@@ -26,6 +26,7 @@ def start_scoring_stream(spark: SparkSession, model: LoadedModel, source_dir: st
         res.responses.write.mode("overwrite").parquet(f"{out_dir}/scored/batch_id={batch_id}")
         res.rejected.write.mode("overwrite").parquet(f"{out_dir}/rejected/batch_id={batch_id}")
         res.summary.write.mode("overwrite").parquet(f"{out_dir}/summary/batch_id={batch_id}")
+        res.release()
 
     w = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "30 seconds")
