@@ -22,10 +22,7 @@ from wardstat.operators import pivot as P
 from wardstat.operators import quality as Q
 from wardstat.operators import ranking as R
 from wardstat.operators import scoring as S
-from wardstat.schemas import (
-    FEATURE_TABLE_COLUMNS, MODEL_FEATURES, PAGE_SIZE, RAW_FIELDS, SERVING_FEATURES, TARGET,
-    WIDE_MEASURE_COLUMNS,
-)
+from wardstat.schemas import FEATURE_TABLE_COLUMNS, MODEL_FEATURES, TARGET
 from wardstat.session import apply_query_settings, scratch_dir
 from wardstat.sources import derived as D
 from wardstat.sources import files as FI
@@ -409,8 +406,7 @@ def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
 
-__all__ = ["queries", "QUERIES", "finish", "raw", "wide", "features", "requests", "log", "scored",
-           "PAGE_SIZE", "RAW_FIELDS", "SERVING_FEATURES", "WIDE_MEASURE_COLUMNS"]
+__all__ = ["queries", "QUERIES", "finish", "raw", "wide", "features", "requests", "log", "scored"]
 
 
 # ---------------------------------------------------------------------------
