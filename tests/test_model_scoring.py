@@ -100,3 +100,20 @@ def test_with_ordinal_is_consecutive(spark):
     df = spark.range(0, 1000, 1, 7).withColumnRenamed("id", "x")
     out = SC.with_ordinal(df).collect()
     assert sorted(r["ordinal"] for r in out) == list(range(0, 1000))
+
+
+def test_end_to_end_run(spark, tmp):
+    from wardstat.plans.end_to_end import run
+    from wardstat.sources import derived as D
+    from wardstat.sources.pages import land_pages
+    land = f"{tmp}/landing"
+    land_pages(D.hrrp_raw(spark, SF001, with_order_keys=True), land, ["l_orderkey", "l_linenumber"])
+    out = run(spark, land, f"{tmp}/work", n_trials=2, search_space=SMALL)
+    p = out["paths"]
+    assert out["pages_read"] > 0
+    assert spark.read.parquet(p.features).count() == catalog.features(spark, SF001).count()
+    assert spark.read.parquet(p.trials).count() == 2
+    runs = spark.read.parquet(p.runs).collect()
+    assert len(runs) == 1 and runs[0]["metrics"]["auc"] == pytest.approx(out["metrics"]["auc"])
+    lm = MD.load_model(spark, p.model)
+    assert lm.vocabulary is not None and lm.features
