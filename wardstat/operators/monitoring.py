@@ -6,7 +6,7 @@ these are single-pass aggregations or top-k scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,15 +86,15 @@ def state_risk(scored: DataFrame, min_states: int = 2) -> DataFrame:
     """Mean score and count per state (NULL states dropped); no rows when
     fewer than `min_states` states remain.
 
-    The guard counts the grouped rows with an un-partitioned window; those
-    rows are one per state, and validated states are at most two
-    characters, so the window sees a bounded number of rows.
+    The guard is a scalar subquery (the number of grouped rows), planned as
+    a global aggregate with partial aggregation whose single value filters
+    the grouped rows; no window collects the states into one partition.
     """
     grouped = (scored.filter(F.col("state").isNotNull())
                .groupBy("state")
                .agg(F.avg("risk_score").alias("mean_risk"), F.count(F.lit(1)).alias("n")))
-    return (grouped.withColumn("_states", F.count(F.lit(1)).over(Window.partitionBy()))
-            .filter(F.col("_states") >= min_states).drop("_states"))
+    n_states = grouped.select(F.count(F.lit(1))).scalar()
+    return grouped.filter(n_states >= F.lit(min_states))
 
 
 def risk_windows(log: DataFrame, duration: str = "1 day", time_col: str = "timestamp") -> DataFrame:
