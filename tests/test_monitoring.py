@@ -85,3 +85,12 @@ def test_tiers_and_percent(spark):
     got = [(r[0], r[1]) for r in df.select(risk_tier("s"), score_percent("s")).collect()]
     assert [g[0] for g in got] == ["high", "medium", "medium", "low", "low", None]
     assert got[4][1] == 1.9 and got[0][1] == 65.0
+
+
+def test_normalise_scores_single_batch(spark):
+    import math
+    inside = spark.createDataFrame([(0.2,), (0.9,)], "raw_score double")
+    assert [r["score"] for r in S.normalise_scores(inside).collect()] == [0.2, 0.9]
+    outside = spark.createDataFrame([(0.2,), (3.0,)], "raw_score double")
+    got = [r["score"] for r in S.normalise_scores(outside).collect()]
+    assert got[1] == pytest.approx(1 / (1 + math.exp(-3.0)))

@@ -17,13 +17,18 @@ def normalise_scores(df: DataFrame, raw: str = "raw_score", by: list[str] | None
     The batch range is a partial aggregation per batch joined back on the
     batch key (AQE splits a skewed batch; a small range table is broadcast
     at run time); without `by` the whole frame is one batch and the range
-    is a one-row aggregate.
+    comes from two scalar subqueries.
     """
     by = list(by or [])
+    if not by:
+        lo = df.select(F.min(raw)).scalar()
+        hi = df.select(F.max(raw)).scalar()
+        outside = (lo < F.lit(0.0)) | (hi > F.lit(1.0))
+        return df.withColumn(out, F.when(outside, sigmoid(raw)).otherwise(F.col(raw)))
     rng = df.groupBy(*by).agg(F.min(raw).alias("_lo"), F.max(raw).alias("_hi"))
-    joined = df.join(rng, by, "inner") if by else df.join(F.broadcast(rng))
     outside = (F.col("_lo") < 0.0) | (F.col("_hi") > 1.0)
-    return (joined.withColumn(out, F.when(outside, sigmoid(raw)).otherwise(F.col(raw)))
+    return (df.join(rng, by, "inner")
+            .withColumn(out, F.when(outside, sigmoid(raw)).otherwise(F.col(raw)))
             .drop("_lo", "_hi"))
 
 
