@@ -110,8 +110,8 @@ def prepare(df: DataFrame, features: list[str], label: str | None = TARGET) -> D
     """Model input columns as doubles (absent -> NULL) and a double label."""
     have = set(df.columns)
     cols = [(F.col(c) if c in have else F.lit(None)).cast("double").alias(c) for c in features]
-    extra = [c for c in ("facility_id", "facility_name", "state", "ordinal", "fold", "weight")
-             if c in have]
+    extra = [c for c in ("facility_id", "facility_name", "state", "ordinal", "fold", "weight",
+                         "input_features") if c in have]
     if label and label in have:
         cols.append(F.col(label).cast("double").alias("label"))
     return df.select(*extra, *cols)

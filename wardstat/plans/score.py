@@ -64,7 +64,7 @@ def apply_vocabulary(feats: DataFrame, vocab: DataFrame | None, max_broadcast: i
 
 def score_frame(model: LoadedModel, valid: DataFrame) -> DataFrame:
     """Valid request rows -> ids + probability_1 (+ ordinal if present)."""
-    keep = [c for c in ID_COLUMNS + ["ordinal"] if c in valid.columns]
+    keep = [c for c in ID_COLUMNS + ["ordinal", "input_features"] if c in valid.columns]
     feats = assemble_features(valid, keep=keep)
     feats = apply_vocabulary(feats, model.vocabulary)
     x = prepare(feats, model.features, label=None)
@@ -84,11 +84,11 @@ class BatchResult:
             self.scored.unpersist()
 
 
-def log_rows(scored: DataFrame, requests: DataFrame, batch_id: int, model_version: str) -> DataFrame:
+def log_rows(scored: DataFrame, batch_id: int, model_version: str) -> DataFrame:
     """Prediction-log rows of a scored batch: features as JSON text (NULL
-    features left out), the unrounded score, the tier and the batch time."""
-    feats = features_json(requests).select("ordinal", "input_features")
-    return (scored.join(feats, "ordinal", "inner")
+    features left out, carried through scoring), the unrounded score, the
+    tier and the batch time."""
+    return (scored
             .select((F.lit(int(batch_id)) * F.lit(ID_STRIDE) + F.col("ordinal")).alias("id"),
                     F.current_timestamp().alias("timestamp"),
                     *ID_COLUMNS, "input_features",
@@ -127,10 +127,12 @@ def score_batch(spark: SparkSession, model: LoadedModel, requests: DataFrame,
     valid, rejected = split_requests(req)
     if strict and rejected.limit(1).count() > 0:
         raise ValidationError("batch has invalid rows")
+    if log_path:
+        valid = features_json(valid)
     scored = tier_and_round(score_frame(model, valid)).persist(StorageLevel.MEMORY_AND_DISK)
     bid = int(batch_id if batch_id is not None else time.time() // 60)
     if log_path:
-        append_log(log_rows(scored, valid, bid, model.version), log_path)
+        append_log(log_rows(scored, bid, model.version), log_path)
     responses = response_rows(scored, model.version)
     if results_path:
         responses.write.mode("overwrite").parquet(results_path)
