@@ -147,3 +147,10 @@ def test_build_features_plan(spark, raw, tmp):
     assert got == ["H0000", "H0001", "H0002", "H0003"]
     assert res.rules.filter(~F.col("ok")).count() == 0
     assert res.report.first()["n_hospitals"] == 6  # H0000..H0005; the null id is not counted
+
+
+def test_feature_table_types(feats):
+    from wardstat.schemas import MODEL_FEATURES
+    types = dict(feats.dtypes)
+    assert all(types[c] in ("double", "bigint", "int") for c in MODEL_FEATURES)
+    assert types["high_readmission_risk"] == "int" and types["facility_id"] == "string"

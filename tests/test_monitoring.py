@@ -94,3 +94,14 @@ def test_normalise_scores_single_batch(spark):
     outside = spark.createDataFrame([(0.2,), (3.0,)], "raw_score double")
     got = [r["score"] for r in S.normalise_scores(outside).collect()]
     assert got[1] == pytest.approx(1 / (1 + math.exp(-3.0)))
+
+
+def test_fixed_score_batch_summary(spark):
+    """A model fixed at 0.75: every row is high risk, the summary counts 4."""
+    df = spark.createDataFrame([(f"{i:06d}", f"H{i}", "AL", 0.75) for i in range(4)],
+                               "facility_id string, facility_name string, state string, probability_1 double")
+    resp = S.response_rows(S.tier_and_round(df), "1")
+    assert {r["risk_level"] for r in resp.collect()} == {"high"}
+    s = MO.batch_summary(resp).first()
+    assert (s["total"], s["high_risk_count"], s["low_medium_count"], s["mean_risk_score"]) == (4, 4, 0, 0.75)
+    assert set(resp.columns) == {"facility_id", "facility_name", "state", "risk_score", "risk_level", "model_version"}
