@@ -59,10 +59,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
     A cluster names a shared folder in `spark.checkpoint.dir`; we only set
-    our own when it is unset (tests, local runs).
+    our own when it is unset and the master is local (tests, local runs).
+    On a cluster an unset folder is an error: a machine-local temporary
+    folder would not survive the loss of the executor that wrote it.
     """
     path = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a shared folder (HDFS/S3/...) for this cluster")
         path = tempfile.mkdtemp(prefix="wardstat-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, path)
     if spark.sparkContext.getCheckpointDir() is None:
