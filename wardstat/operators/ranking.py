@@ -68,6 +68,12 @@ def prefix_sums(df: DataFrame, order_by: list, values: dict[str, Column], bucket
 
     With `totals`, also adds `<name>_total`, the sum over the whole partition.
     Ties in `order_by` are broken arbitrarily, as `row_number` does.
+
+    Balance contract: one bucket is one window partition, so callers choose
+    buckets that cannot concentrate rows -- hash prefixes of unique keys,
+    quantile bounds over distinct values, or existing input partitions.
+    The offsets table has one row per (partition_by value, bucket) and is
+    broadcast; callers partition only by low-cardinality columns.
     """
     parts = list(partition_by or [])
     keyed = df.withColumn(_B, bucket).withColumns({f"_rk_v_{k}": v for k, v in values.items()})
@@ -78,9 +84,9 @@ def prefix_sums(df: DataFrame, order_by: list, values: dict[str, Column], bucket
         f"_rk_l_{k}": F.coalesce(F.sum(f"_rk_v_{k}").over(w_local), F.lit(0))
         for k in values
     })
-    # Per-bucket totals, aggregated from the windowed frame: it is already
-    # partitioned by (partition_by, bucket), so no further exchange.
-    per_bucket = local.groupBy(*parts, _B).agg(
+    # Per-bucket totals: a partial + final aggregation whose exchange only
+    # carries one row per (map task, bucket).
+    per_bucket = keyed.groupBy(*parts, _B).agg(
         *[F.sum(f"_rk_v_{k}").alias(f"_rk_t_{k}") for k in values])
     w_off = Window.partitionBy(*parts).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offset_cols = [F.coalesce(F.sum(f"_rk_t_{k}").over(w_off), F.lit(0)).alias(f"_rk_o_{k}")
