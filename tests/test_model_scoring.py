@@ -117,3 +117,11 @@ def test_end_to_end_run(spark, tmp):
     assert len(runs) == 1 and runs[0]["metrics"]["auc"] == pytest.approx(out["metrics"]["auc"])
     lm = MD.load_model(spark, p.model)
     assert lm.vocabulary is not None and lm.features
+
+
+def test_serving_vocabulary_unknown_is_minus_one(spark):
+    vocab = spark.createDataFrame([("AL", 0), ("CA", 1), ("Unknown", 2)], "state_key string, state_encoded int")
+    feats = spark.createDataFrame([("a", "CA", 9.0), ("b", "XYZ", 9.0), ("c", None, 9.0)],
+                                  "facility_id string, state string, state_encoded double")
+    out = {r["facility_id"]: r["state_encoded"] for r in SC.apply_vocabulary(feats, vocab).collect()}
+    assert out == {"a": 1.0, "b": -1.0, "c": 2.0}
