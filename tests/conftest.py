@@ -19,7 +19,6 @@ def spark():
     s = (SparkSession.builder.master("local[*]").appName("wardstat-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.constraintPropagation.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")

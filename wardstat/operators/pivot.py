@@ -47,8 +47,15 @@ def _meta_aggs() -> list:
     return [F.min("facility_name").alias("facility_name"), F.min("state").alias("state")]
 
 
-def _any_value(cols: list[str]):
-    return F.coalesce(*[F.col(c) for c in cols]).isNotNull()
+def _any_count() -> F.Column:
+    """Some of the 24 metrics has a value: one of the count buffers is > 0.
+
+    Filtering on the buffers, before the averages are aliased, keeps the
+    predicate small: a predicate over 24 aliased expressions pushed below
+    the alias projection makes Catalyst's constraint inference copy it
+    once per alias substitution.
+    """
+    return F.greatest(*[F.col(f"_n_{c}") for c in WIDE_MEASURE_COLUMNS]) > 0
 
 
 def pivot_wide(clean: DataFrame) -> DataFrame:
@@ -73,8 +80,8 @@ def pivot_wide(clean: DataFrame) -> DataFrame:
                    .groupBy("facility_id", "facility_name", "state", "measure_short")
                    .agg(*_measure_sums()))
     merged = per_measure.groupBy("facility_id").agg(*_meta_aggs(), *_spread())
-    return (merged.select("facility_id", "facility_name", "state", *_averages())
-            .filter(_any_value(WIDE_MEASURE_COLUMNS)))
+    return (merged.filter(_any_count())
+            .select("facility_id", "facility_name", "state", *_averages()))
 
 
 def facility_meta(clean: DataFrame) -> DataFrame:
@@ -92,8 +99,8 @@ def wide_metrics(clean: DataFrame) -> DataFrame:
     per_measure = (clean.filter(F.col("facility_id").isNotNull())
                    .groupBy("facility_id", "measure_short").agg(*_measure_sums()))
     return (per_measure.groupBy("facility_id").agg(*_spread())
-            .select("facility_id", *_averages())
-            .filter(_any_value(WIDE_MEASURE_COLUMNS)))
+            .filter(_any_count())
+            .select("facility_id", *_averages()))
 
 
 def wide_with_meta(clean: DataFrame) -> DataFrame:

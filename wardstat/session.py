@@ -22,7 +22,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         b = b.master(master)
     b = (b.config("spark.sql.adaptive.enabled", "true")
-          .config("spark.sql.constraintPropagation.enabled", "false")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
@@ -39,16 +38,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def apply_query_settings(spark: SparkSession) -> None:
-    """Settings the library's plans rely on, applied to an existing session.
-
-    Constraint propagation is off: the wide conditional aggregations alias
-    dozens of derived expressions, and inferring constraints across those
-    aliases grows combinatorially in the optimizer (it only adds inferred
-    IsNotNull filters). AQE is on for runtime re-planning (broadcast
-    conversion, partition coalescing, skew splits).
+    """Settings the library's plans rely on, applied to an existing session:
+    AQE for runtime re-planning (broadcast conversion from measured sizes,
+    partition coalescing, skew splits) and a checkpoint folder.
     """
-    for k, v in (("spark.sql.constraintPropagation.enabled", "false"),
-                 ("spark.sql.adaptive.enabled", "true"),
+    for k, v in (("spark.sql.adaptive.enabled", "true"),
                  ("spark.sql.adaptive.skewJoin.enabled", "true")):
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
