@@ -84,9 +84,12 @@ def prefix_sums(df: DataFrame, order_by: list, values: dict[str, Column], bucket
         f"_rk_l_{k}": F.coalesce(F.sum(f"_rk_v_{k}").over(w_local), F.lit(0))
         for k in values
     })
-    # Per-bucket totals: a partial + final aggregation whose exchange only
-    # carries one row per (map task, bucket).
-    per_bucket = keyed.groupBy(*parts, _B).agg(
+    # Per-bucket totals, aggregated from the windowed frame: after column
+    # pruning this reads the same hash exchange on (partition_by, bucket) as
+    # the window, which Spark reuses (ReusedExchange), so the input is
+    # computed and shuffled once. Aggregating `keyed` instead would add a
+    # partial aggregation over the input and compute it twice.
+    per_bucket = local.groupBy(*parts, _B).agg(
         *[F.sum(f"_rk_v_{k}").alias(f"_rk_t_{k}") for k in values])
     w_off = Window.partitionBy(*parts).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offset_cols = [F.coalesce(F.sum(f"_rk_t_{k}").over(w_off), F.lit(0)).alias(f"_rk_o_{k}")

@@ -22,6 +22,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         b = b.master(master)
     b = (b.config("spark.sql.adaptive.enabled", "true")
+          .config("spark.sql.constraintPropagation.enabled", "false")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.session.timeZone", "UTC")
@@ -41,8 +42,15 @@ def apply_query_settings(spark: SparkSession) -> None:
     """Settings the library's plans rely on, applied to an existing session:
     AQE for runtime re-planning (broadcast conversion from measured sizes,
     partition coalescing, skew splits) and a checkpoint folder.
+
+    Constraint propagation is turned off as a performance setting only:
+    results are identical with it on, but on the 24-column conditional
+    aggregations every optimizer pass -- repeated at each adaptive re-plan
+    -- spends noticeable time inferring IsNotNull filters that change
+    nothing here (sf0.1 bench in our runs: about 65 s off vs 76-94 s on).
     """
-    for k, v in (("spark.sql.adaptive.enabled", "true"),
+    for k, v in (("spark.sql.constraintPropagation.enabled", "false"),
+                 ("spark.sql.adaptive.enabled", "true"),
                  ("spark.sql.adaptive.skewJoin.enabled", "true")):
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
