@@ -118,3 +118,18 @@ def test_recent_predictions_since_prunes_partitions(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*log_date[^\]]*2024-01-03", plan)
     assert [r["id"] for r in df.collect()] == [29, 26, 23, 20, 17]
+
+
+def test_distributed_rank_computes_input_once(spark, tmp_path):
+    from wardstat.operators.ranking import hex_bucket, row_number_distributed
+    from wardstat.session import apply_query_settings
+    apply_query_settings(spark)  # as the query wrapper and plans do
+    path = str(tmp_path / "keys")
+    spark.range(3000).select(F.md5(F.col("id").cast("string")).alias("k"),
+                             (F.col("id") % 2).alias("g")).write.parquet(path)
+    src = spark.read.parquet(path)
+    out = row_number_distributed(src, [F.col("k")], hex_bucket(F.col("k"), 2), ["g"])
+    out.collect()
+    final = plan_text(out).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1
+    assert "ReusedExchange" in final

@@ -80,17 +80,22 @@ def prefix_sums(df: DataFrame, order_by: list, values: dict[str, Column], bucket
     frame_end = Window.currentRow if inclusive else -1
     w_local = (Window.partitionBy(*parts, _B).orderBy(*order_by)
                .rowsBetween(Window.unboundedPreceding, frame_end))
+    # Same partitioning and ordering as w_local (whole-partition frame), so
+    # both branches need the same columns below the exchange.
+    w_bucket = (Window.partitionBy(*parts, _B).orderBy(*order_by)
+                .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     local = keyed.withColumns({
-        f"_rk_l_{k}": F.coalesce(F.sum(f"_rk_v_{k}").over(w_local), F.lit(0))
-        for k in values
+        **{f"_rk_l_{k}": F.coalesce(F.sum(f"_rk_v_{k}").over(w_local), F.lit(0)) for k in values},
+        **{f"_rk_b_{k}": F.sum(f"_rk_v_{k}").over(w_bucket) for k in values},
     })
-    # Per-bucket totals, aggregated from the windowed frame: after column
-    # pruning this reads the same hash exchange on (partition_by, bucket) as
-    # the window, which Spark reuses (ReusedExchange), so the input is
-    # computed and shuffled once. Aggregating `keyed` instead would add a
-    # partial aggregation over the input and compute it twice.
+    # Per-bucket totals come from a window column, so they read the windowed
+    # frame: it is already hash-partitioned by (partition_by, bucket), the
+    # aggregation needs no exchange, and Spark reuses the window's exchange
+    # for both consumers (ReusedExchange) -- the input is read and shuffled
+    # once. (A plain groupBy of the input would be planned as a second
+    # partial aggregation over a second read of the input.)
     per_bucket = local.groupBy(*parts, _B).agg(
-        *[F.sum(f"_rk_v_{k}").alias(f"_rk_t_{k}") for k in values])
+        *[F.max(f"_rk_b_{k}").alias(f"_rk_t_{k}") for k in values])
     w_off = Window.partitionBy(*parts).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offset_cols = [F.coalesce(F.sum(f"_rk_t_{k}").over(w_off), F.lit(0)).alias(f"_rk_o_{k}")
                    for k in values]
@@ -100,7 +105,7 @@ def prefix_sums(df: DataFrame, order_by: list, values: dict[str, Column], bucket
     offsets = per_bucket.select(*parts, _B, *offset_cols)
     out = local.join(F.broadcast(offsets), [*parts, _B], "inner")
     out = out.withColumns({k: F.col(f"_rk_o_{k}") + F.col(f"_rk_l_{k}") for k in values})
-    drop = [_B] + [f"_rk_{p}_{k}" for k in values for p in ("v", "l", "o")]
+    drop = [_B] + [f"_rk_{p}_{k}" for k in values for p in ("v", "l", "b", "o")]
     return out.drop(*drop)
 
 
