@@ -29,7 +29,8 @@ NOTES = """What to look for:
   sort-merge join); the pivot exchange is reused by the vocabulary branch.
 * `stratified_split`, `roc_auc`: ranks are windows per (label, bucket); the
   only `SinglePartition` exchanges carry per-bucket totals (bounded by the
-  bucket count) or a final one-row aggregate after partial aggregation.
+  bucket count) or a final one-row aggregate after partial aggregation;
+  the per-bucket totals read the window's exchange through `ReusedExchange`.
 * `recent_predictions`: `TakeOrderedAndProject`, no full sort.
 * `normalise_scores`: per-batch range aggregated then joined back on the
   batch key (broadcast here by AQE; skew split otherwise).
