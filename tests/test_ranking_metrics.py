@@ -106,3 +106,12 @@ def test_sample_rows_is_seeded_topk(spark, scored):
     b = [r[0] for r in R.sample_rows(scored.repartition(5), 10).select("facility_id").collect()]
     assert a == b and len(a) == 10
     assert R.sample_rows(scored, 10_000).count() == scored.count()
+
+
+def test_range_bucket_rank_matches_window(spark):
+    from pyspark.sql import Window
+    df = spark.range(0, 5000).select((F.col("id") * 3 % 4999).alias("k"), (F.col("id") % 7).alias("t"))
+    b = R.range_bucket(df, "k", target_rows=100)  # ~50 buckets
+    got = R.row_number_distributed(df, [F.col("k"), F.col("t")], b).select("k", "t", "rn")
+    want = df.withColumn("rn", F.row_number().over(Window.orderBy("k", "t")))
+    assert sorted(got.collect()) == sorted(want.collect())

@@ -11,19 +11,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.operators.ranking import quantile_bucket, row_number_distributed
+from wardstat.operators.ranking import range_bucket, row_number_distributed
 from wardstat.schemas import PAGE_SCHEMA, PAGE_SIZE, RAW_FIELDS
 
 
-def to_pages(rows: DataFrame, order_by: list[str], page_size: int = PAGE_SIZE) -> DataFrame:
+def to_pages(rows: DataFrame, order_by: list[str], page_size: int = PAGE_SIZE,
+             rows_per_bucket: int = 2_000_000) -> DataFrame:
     """Cut rows into pages of `page_size` in `order_by` order.
 
-    The global ordinal is a distributed row number (bucketed on the first
-    order column); each page is then one bounded `collect_list` group of at
-    most `page_size` rows, sorted inside the page by the ordinal.
+    The global ordinal is a distributed row number bucketed on the first
+    order column (an integral delivery key such as an order id): the bucket
+    count grows with the rows, so every window task holds about
+    `rows_per_bucket` rows at any scale. Each page is then one bounded
+    `collect_list` group of at most `page_size` rows, sorted inside the page
+    by the ordinal.
     """
     ranked = row_number_distributed(rows, [F.col(c) for c in order_by],
-                                    quantile_bucket(rows, order_by[0]), name="_row",
+                                    range_bucket(rows, order_by[0], rows_per_bucket), name="_row",
                                     with_count=True)
     page = F.floor((F.col("_row") - 1) / F.lit(page_size))
     row = F.struct(F.col("_row"), *[F.col(c) for c in RAW_FIELDS])
