@@ -59,18 +59,22 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int = 256,
     return F.when(c.isNull(), F.lit(-1)).otherwise(expr)
 
 
-def range_bucket(df: DataFrame, col: str, target_rows: int = 2_000_000) -> Column:
+def range_bucket(df: DataFrame, col: str, target_rows: int = 2_000_000,
+                 min_buckets: int = 256) -> Column:
     """Monotone bucket of an integral column whose number of buckets grows
-    with the data: about `target_rows` rows per bucket when the values are
-    dense (order keys, ids). One aggregation (min, max, count) sizes the
-    width; the bucket is plain arithmetic, so any bucket count is cheap.
-    The offset table then has about count / target_rows rows.
+    with the data: max(min_buckets, count / target_rows) buckets, i.e. at
+    most about `target_rows` rows per bucket when the values are dense
+    (order keys, ids), and at least `min_buckets` for parallelism on small
+    inputs. One aggregation (min, max, count) sizes the width; the bucket is
+    plain arithmetic, so any bucket count is cheap. The offset table has one
+    row per bucket.
     """
     row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(col).alias("n")).first()
     if row["n"] == 0 or row["lo"] is None:
         return F.lit(0).cast("long")
     span = int(row["hi"]) - int(row["lo"]) + 1
-    width = max(1, -(-span * int(target_rows) // int(row["n"])))  # ceil
+    buckets = max(int(min_buckets), -(-int(row["n"]) // int(target_rows)))
+    width = max(1, -(-span // buckets))  # ceil
     c = F.col(col).cast("long")
     return F.when(c.isNull(), F.lit(-1).cast("long")).otherwise(
         F.floor((c - F.lit(int(row["lo"]))) / F.lit(width)).cast("long"))
