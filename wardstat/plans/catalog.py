@@ -463,7 +463,7 @@ def q_batch_guard_summary(spark, sf):
 @query("prediction_log_rows")
 def q_prediction_log_rows(spark, sf):
     out = scratch_dir(spark, "log")
-    _score(spark, sf, log_path=out)
+    _score(spark, sf, log_path=out).release()  # the result is read back from the log
     return spark.read.parquet(out).drop("timestamp", "log_date")
 
 
