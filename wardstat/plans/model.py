@@ -159,7 +159,11 @@ def train(spark: SparkSession, features_df: DataFrame, n_trials: int = 50,
     """Split, search, refit on the whole training split, evaluate on the
     held-out split. `fixed_params` skips the search (one param map, no CV).
     """
-    split = stratified_split(features_df, n_folds=n_folds, seed=seed)
+    # The split hospital table is read by the class weight, the column check,
+    # the training input and the held-out evaluation: checkpoint it once to
+    # the shared checkpoint folder instead of recomputing the features each
+    # time (this also cuts the lineage under the long CV).
+    split = stratified_split(features_df, n_folds=n_folds, seed=seed).checkpoint(eager=True)
     train_df = split.filter(F.col("split") == "train")
     test_df = split.filter(F.col("split") == "test")
 
