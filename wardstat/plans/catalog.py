@@ -429,7 +429,7 @@ def trained_model(spark, sf):
     from wardstat.plans import model as MD
     key = ("fixed", sf)
     if key not in _MODELS:
-        feats = features(spark, sf)
+        feats = features(spark, sf).checkpoint(eager=True)  # read by training and vocabulary
         res = MD.train(spark, feats, fixed_params=FIXED_PARAMS)
         path = scratch_dir(spark, "model")
         MD.save_model(spark, res, path, MD.fit_vocabulary(feats), version="1")
