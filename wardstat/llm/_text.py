@@ -48,11 +48,15 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def prefix_hash(buf: np.ndarray, lower: bool = False) -> np.ndarray:
-    """S with S[j]-S[i] = sum of byte values times P^position over [i, j)."""
+def prefix_hash(buf: np.ndarray, lower: bool = False, second: bool = False) -> np.ndarray:
+    """S with S[j]-S[i] = sum of byte values times P^position over [i, j).
+
+    second: other byte values, for the second half of a 128-bit key.
+    """
     pw, _ = powers(len(buf) + 1)
+    values = _BYTE_LOWER if lower else _BYTE
     out = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum((_BYTE_LOWER if lower else _BYTE)[buf] * pw[:len(buf)], out=out[1:])
+    np.cumsum((mix64(values) if second else values)[buf] * pw[:len(buf)], out=out[1:])
     return out
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wardstat.llm.line_dedup import dedup_lines
 from wardstat.llm.near_dedup import near_duplicates
 from wardstat.session import ensure_checkpoint_dir
 
@@ -55,3 +57,23 @@ m AS (SELECT id, min(c) AS c FROM r GROUP BY id)
 SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.c AS component_id, m.c = w.doc_id AS kept
 FROM w LEFT JOIN n USING (doc_id) JOIN m ON m.id = w.doc_id
 """
+
+
+@query
+def op10_line_dedup(spark, sf_dir):
+    """Keys of 40 code points or more in 5 documents or more; whole documents table."""
+    out = dedup_lines(spark, table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op10_line_dedup"] = f"""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS xs FROM documents),
+l AS (SELECT doc_id, unnest(xs) AS x, unnest(range(len(xs))) AS i FROM s),
+k AS (SELECT doc_id, i, x, {_LOWER.format("trim(x, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13)))")} AS key FROM l),
+f AS (SELECT key, max(doc_id) AS keep_doc FROM k WHERE length(key) >= 40
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.*, coalesce(f.keep_doc <> k.doc_id, false) AS gone FROM k LEFT JOIN f ON f.key = k.key)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
