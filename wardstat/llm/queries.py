@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardstat.llm.language_id import identify
 from wardstat.llm.line_dedup import dedup_lines
 from wardstat.llm.near_dedup import near_duplicates
 from wardstat.session import ensure_checkpoint_dir
@@ -77,3 +78,9 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_
        sha256(coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+
+@query
+def op5_language_id(spark, sf_dir):
+    """Language of every whole text; learned from rows that are not held out."""
+    return identify(spark, table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
