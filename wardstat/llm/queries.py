@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardstat.llm.decontaminate import find_leaks
 from wardstat.llm.language_id import identify
 from wardstat.llm.line_dedup import dedup_lines
 from wardstat.llm.near_dedup import near_duplicates
@@ -84,3 +85,9 @@ FROM m GROUP BY doc_id
 def op5_language_id(spark, sf_dir):
     """Language of every whole text; learned from rows that are not held out."""
     return identify(spark, table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op9_benchmark_decontamination(spark, sf_dir):
+    """Documents that hold a benchmark item: all documents against all items."""
+    return find_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
