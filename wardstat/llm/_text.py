@@ -194,7 +194,7 @@ _TYPES = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "float"
 
 
 def _arrow_types(schema: str) -> list[pa.DataType]:
-    return [_TYPES[p.strip().split(" ", 1)[1].strip()] for p in _split_schema(schema)]
+    return [_TYPES.get(p.strip().split(" ", 1)[1].strip()) for p in _split_schema(schema)]
 
 
 def list_array(values: np.ndarray, lengths: np.ndarray) -> pa.Array:

@@ -282,32 +282,34 @@ class LineIndex:
         return hit.groupBy("doc_id").agg(F.flatten(F.collect_list(F.array("k1", "k2"))).alias("keys"))
 
     def apply(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """doc_id, text (lines left), n_lines, n_dropped -- one row per row of `docs`."""
-        rows = id_text(docs, id_col, text_col).join(self.drops(), "doc_id", "left").select("doc_id", "text", "keys")
+        """doc_id, text (lines left), n_lines, n_dropped, row (the input row) -- one row per row of `docs`."""
+        rows = (docs.select(F.struct(*[c for c in docs.columns if c != text_col]).alias("row"),
+                            F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+                .join(self.drops(), "doc_id", "left").select("doc_id", "text", "keys", "row"))
+        min_chars = self.min_chars
 
         def run(batch, buf, off):
             keys = batch.column(2)
-            n_lines = np.add.reduceat(np.concatenate([buf == 10, [False]]).astype(np.int64), off[:-1])
-            n_lines[off[1:] == off[:-1]] = 0
-            n_lines += 1
+            n_lines = 1 + np.diff(np.searchsorted(np.flatnonzero(buf == 10), off))
             dropped = np.zeros(len(off) - 1, np.int64)
             texts = batch.column(1).fill_null("")
             todo = np.flatnonzero(keys.is_valid().to_numpy(zero_copy_only=False))
             if len(todo):
                 texts = texts.to_pylist()
-                for r in todo:
+                for r in todo.tolist():
                     part = buf[off[r]:off[r + 1]]
                     ln = _Lines(part, np.array([0, len(part)]))
-                    gone = np.asarray(keys[int(r)].values.to_numpy()).reshape(-1, 2)
-                    # 128-bit keys: k1 narrows, k2 decides
-                    lose = (ln.chars >= self_min) & np.isin(ln.k1, gone[:, 0]) & np.isin(ln.k2, gone[:, 1])
-                    dropped[r] = lose.sum()
+                    flat = keys[r].values.to_numpy()
+                    gone = set(zip(flat[0::2].tolist(), flat[1::2].tolist()))
+                    lose = [c >= min_chars and (x, y) in gone for c, x, y in
+                            zip(ln.chars.tolist(), ln.k1.tolist(), ln.k2.tolist())]
+                    dropped[r] = sum(lose)
                     raw = part.tobytes()
                     texts[r] = b"\n".join(raw[a:b] for a, b, x in zip(ln.begin.tolist(), ln.end.tolist(), lose) if not x).decode()
-            return {"doc_id": batch.column(0), "text": texts, "n_lines": n_lines, "n_dropped": dropped}
+            return {"doc_id": batch.column(0), "text": texts, "n_lines": n_lines, "n_dropped": dropped, "row": batch.column(3)}
 
-        self_min = self.min_chars
-        return map_slices(rows, run, "doc_id long, text string, n_lines long, n_dropped long")
+        kind = rows.schema["row"].dataType.simpleString()
+        return map_slices(rows, run, f"doc_id long, text string, n_lines long, n_dropped long, row {kind}")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
