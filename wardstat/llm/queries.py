@@ -11,6 +11,7 @@ from wardstat.llm.decontaminate import find_leaks
 from wardstat.llm.language_id import identify
 from wardstat.llm.line_dedup import dedup_lines
 from wardstat.llm.near_dedup import near_duplicates
+from wardstat.llm.packing import pack
 from wardstat.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +92,9 @@ def op5_language_id(spark, sf_dir):
 def op9_benchmark_decontamination(spark, sf_dir):
     """Documents that hold a benchmark item: all documents against all items."""
     return find_leaks(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_best_fit_packing(spark, sf_dir):
+    """All documents packed into sequences of five permitted lengths."""
+    return pack(spark, table(spark, sf_dir, "documents"))
