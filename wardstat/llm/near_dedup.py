@@ -9,9 +9,9 @@ confirmed on their full shingle sets; confirmed links are grouped by
 connected components.
 
 Copies with the same shingle set are folded into one representative first.
-In a band every member is compared with the smallest one; where that leaves
-members in different components, these members are compared with the whole
-band too, so that no link inside a band is lost, whatever its size.
+In a band every member is compared with one leader; members that stay in
+another component than their leader are compared with the whole band too, in
+blocks, so that no link inside a band is lost, whatever its size.
 
 Defined results: text null, empty or blank -> empty set, linked with
 nothing; fewer words than a shingle -> the whole sequence is the only
@@ -23,6 +23,7 @@ is kept; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ from wardstat.llm._text import Words, grams, id_text, list_array, map_slices, mi
 
 BANDS, ROWS = 25, 4
 BLOCK = 1 << 14
+BAND_BLOCK = 4096
 
 
 def superminhash(elements: np.ndarray, m: int) -> np.ndarray:
@@ -133,6 +135,62 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(F.lit(100) * F.col("i") >= F.lit(percent) * F.col("o")).select("a", "b").distinct())
 
 
+def _meet_apart(named: DataFrame, sigs: DataFrame, sets: DataFrame, bar: int, percent: int,
+                rows: int) -> DataFrame:
+    """Links between members that are apart from their band's leader and the
+    rest of the band, compared in blocks of at most about BAND_BLOCK members
+    by BAND_BLOCK apart ones. A pair is compared in the first band it shares;
+    a pair that a link found in the same block already joins is passed over.
+    Only links leave a task.
+    """
+    n_apart = named.groupBy("key").agg(F.sum(F.col("apart").cast("int")).alias("k")).where("k > 0")
+    full = (named.join(n_apart, "key")
+            .withColumn("ny", F.ceil(F.col("n") / BAND_BLOCK)).withColumn("nx", F.ceil(F.col("k") / BAND_BLOCK)))
+    at = lambda m: F.pmod(F.xxhash64("doc_id"), F.col(m))
+    every = lambda m: F.sequence(F.lit(0).cast("long"), F.col(m) - 1)
+    y = full.withColumn("y", at("ny")).withColumn("x", F.explode(every("nx"))).withColumn("asks", F.lit(False))
+    x = full.where("apart").withColumn("x", at("nx")).withColumn("y", F.explode(every("ny"))).withColumn("asks", F.lit(True))
+    cols = ["key", "x", "y", "band", "doc_id", "c", "apart", "asks"]
+    both = (x.select(cols).unionAll(y.select(cols)).join(sigs, "doc_id").join(sets, "doc_id")
+            .select(*cols, "sig", "shingles"))
+
+    def meet(pdf):
+        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
+        band = int(pdf["band"].iloc[0])
+        bands = sig.reshape(len(pdf), -1, rows)
+        asks = pdf["asks"].to_numpy(bool)
+        doc, c = pdf["doc_id"].to_numpy(np.int64), pdf["c"].to_numpy(np.int64).copy()
+        other = np.flatnonzero(~asks)
+        apart = pdf["apart"].to_numpy(bool)
+        shingles, seen, out = pdf["shingles"].to_list(), {}, []
+
+        def as_set(i):
+            if i not in seen:
+                seen[i] = set(shingles[i].tolist())
+            return seen[i]
+
+        for i in np.flatnonzero(asks):
+            same = (sig[other] == sig[i])
+            ok = (same.sum(axis=1) >= bar) & (c[other] != c[i]) & ~(apart[other] & (doc[other] >= doc[i]))
+            hit = other[ok]
+            if not len(hit):
+                continue
+            first = (bands[hit] == bands[i]).all(axis=2).argmax(axis=1)
+            hit, match = hit[first == band], same.sum(axis=1)[ok][first == band]
+            for j in hit[np.argsort(-match, kind="stable")].tolist():
+                if c[j] == c[i]:
+                    continue
+                p, q = as_set(i), as_set(j)
+                both_n = len(p & q)
+                if 100 * both_n >= percent * (len(p) + len(q) - both_n):
+                    out.append((int(doc[i]), int(doc[j])))
+                    lo, hi = min(c[i], c[j]), max(c[i], c[j])
+                    c[c == hi] = lo
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return both.groupBy("key", "x", "y").applyInPandas(meet, "a long, b long").distinct()
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, n: int = 5, percent: int = 80,
                     bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
@@ -154,35 +212,31 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int = 5, percent: i
     reps = keep(spark, real.join(groups, ["set_hash", "n_shingles"]).where("doc_id = rep")
                 .dropDuplicates(["set_hash", "n_shingles"]).select("doc_id", "sig", "bands"), "representatives")
 
-    posts = reps.select(F.explode("bands").alias("key"), "doc_id")
-    leaders = posts.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("top")).where("leader < top")
-    # every (band, member) of a band with two different members
-    members = keep(spark, posts.join(leaders.select("key", "leader"), "key").distinct(), "bands")
-
-    sigs = reps.select(F.col("doc_id"), "sig")
+    posts = reps.select(F.posexplode("bands").alias("band", "key"), "doc_id")
+    sizes = posts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = keep(spark, posts.join(sizes, "key"), "bands")
+    # the leader of a band is the member that shares its bands with most others:
+    # in a group of copies, one close to what they were copied from
+    weight = shared.groupBy("doc_id").agg(F.sum("n").alias("w"))
+    leaders = (shared.join(weight, "doc_id").groupBy("key")
+               .agg(F.max(F.struct("w", -F.col("doc_id"))).alias("m")).select("key", (-F.col("m.col2")).alias("leader")))
+    members = keep(spark, shared.join(leaders, "key"), "members")
+
+    sigs = reps.select("doc_id", "sig")
     stars = members.where("doc_id <> leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
-
-    def likely(p):
-        return _likely(p.join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("x")), "a")
-                       .join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("y")), "b"), bar)
-
+    likely = _likely(stars.join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("x")), "a")
+                     .join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("y")), "b"), bar)
     ids = members.select("doc_id").distinct()
     sets = keep(spark, shingle_sets(d.join(ids, "doc_id", "left_semi"), n), "sets")
-    links = keep(spark, _confirmed(likely(stars), sets, percent), "links")
+    links = keep(spark, _confirmed(likely, sets, percent), "links")
 
-    # members still apart from their band's leader meet the whole band
     comp = components(spark, links)
     label = comp.select(F.col("id").alias("doc_id"), "component")
     named = (members.join(label, "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id"))
              .join(label.select(F.col("doc_id").alias("leader"), F.col("component").alias("lc")), "leader", "left")
-             .withColumn("lc", F.coalesce("lc", "leader")).select("key", "doc_id", "c", "lc"))
-    named = keep(spark, named, "named")
-    apart = named.where("c <> lc").select("key", F.col("doc_id").alias("a"), F.col("c").alias("ca"))
-    others = named.join(apart.select("key").distinct(), "key", "left_semi").where("doc_id is not null")
-    # against the rest of the band: each other component once by pair of documents
-    more = (apart.join(others.select("key", F.col("doc_id").alias("b"), F.col("c").alias("cb"), F.col("lc")), "key")
-            .where("ca <> cb and (cb = lc or a > b)").select("a", "b").distinct())
-    links2 = keep(spark, _confirmed(likely(more), sets, percent), "links")
+             .withColumn("apart", F.col("c") != F.coalesce("lc", "leader")))
+    named = keep(spark, named.select("key", "band", "n", "doc_id", "c", "apart"), "named")
+    links2 = keep(spark, _meet_apart(named, sigs, sets, bar, percent, rows), "links")
 
     final = components(spark, links.unionAll(links2).unionAll(copies))
     return (sig.select("doc_id", "n_shingles").join(final.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")

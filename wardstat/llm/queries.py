@@ -12,6 +12,8 @@ from wardstat.llm.language_id import identify
 from wardstat.llm.line_dedup import dedup_lines
 from wardstat.llm.near_dedup import near_duplicates
 from wardstat.llm.packing import pack
+from wardstat.llm.quality_rules import quality
+from wardstat.llm.suffix_dedup import dedup_substrings
 from wardstat.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +100,63 @@ def op9_benchmark_decontamination(spark, sf_dir):
 def op8_best_fit_packing(spark, sf_dir):
     """All documents packed into sequences of five permitted lengths."""
     return pack(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    """Rule counts and the cascade's verdict for every document."""
+    return quality(spark, table(spark, sf_dir, "documents")).drop("failed_rule")
+
+
+ORACLE_SQL["op3_quality_rules"] = f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, ws FROM w WHERE len(ws) >= 5),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i+4], ' ') AS g FROM p),
+r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+c AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM r) GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM w),
+d AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup FROM l
+      WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT w.doc_id, t, ws, CAST(len(ws) AS BIGINT) AS n_words,
+        CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+        CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        coalesce(n_lines, 0) AS n_lines, CAST(coalesce(n_dup, 0) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN d USING (doc_id) LEFT JOIN c USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words
+    OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+    OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 5 * n_lines
+    OR 10 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 6 * length(regexp_replace(t, '[^A-Za-z]', '', 'g'))
+    OR 2 * length(regexp_replace(t, '[^!]', '', 'g')) > n_words
+    OR 10 * len(list_filter(ws, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) < 6 * n_words) AS kept
+FROM m
+"""
+
+
+@query
+def op7_suffix_array_dedup(spark, sf_dir):
+    """Bytes of repeated 100-byte strings, over all documents."""
+    out = dedup_substrings(spark, table(spark, sf_dir, "documents"), 100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op7_suffix_array_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT doc_id, h, CAST(length(h) // 2 AS BIGINT) AS n FROM d),
+p AS (SELECT doc_id, unnest(range(n - 99)) AS i, h FROM n WHERE n >= 100),
+f AS (SELECT doc_id, i FROM (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS m FROM p)
+      QUALIFY row_number() OVER (PARTITION BY m ORDER BY doc_id, i) > 1),
+g AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS s FROM f),
+q AS (SELECT doc_id, i, sum(s) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g),
+r AS (SELECT doc_id, min(i) AS lo, max(i) + 100 AS hi FROM q GROUP BY doc_id, k),
+x AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS since FROM r),
+a AS (SELECT doc_id, count(*) AS n_spans, sum(hi - lo) AS n_removed, max(hi) AS last,
+        list({'since': since, 'lo': lo} ORDER BY lo) AS parts FROM x GROUP BY doc_id)
+SELECT n.doc_id, n.n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN parts IS NULL THEN h ELSE
+    array_to_string(list_transform(parts, lambda y: substr(h, 2 * y.since + 1, 2 * (y.lo - y.since))), '')
+    || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM n LEFT JOIN a USING (doc_id)
+"""
