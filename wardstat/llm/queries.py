@@ -15,6 +15,7 @@ from wardstat.llm.packing import pack
 from wardstat.llm.quality_rules import quality
 from wardstat.llm.suffix_dedup import dedup_substrings
 from wardstat.session import ensure_checkpoint_dir
+from wardstat.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -160,3 +161,9 @@ SELECT n.doc_id, n.n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_rem
     || substr(h, 2 * last + 1) END)) AS kept_sha256
 FROM n LEFT JOIN a USING (doc_id)
 """
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    """Toxicity score of every whole text."""
+    return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
