@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardstat.llm.decontaminate import find_leaks
 from wardstat.llm.language_id import identify
+from wardstat.llm.license_scan import SHINGLE, TEMPLATES, scan, size_class, template_words
 from wardstat.llm.line_dedup import dedup_lines
 from wardstat.llm.near_dedup import near_duplicates
 from wardstat.llm.packing import pack
@@ -167,3 +168,31 @@ FROM n LEFT JOIN a USING (doc_id)
 def op2_toxicity(spark, sf_dir):
     """Toxicity score of every whole text."""
     return toxicity(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_license_scan(spark, sf_dir):
+    """License notices found in all documents."""
+    return scan(spark, table(spark, sf_dir, "documents"))
+
+
+_TEMPLATE_ROWS = ", ".join(
+    f"('{k}', {template_words(v)}, {min(SHINGLE, len(template_words(v)))}, {size_class(len(template_words(v)))})"
+    for k, v in TEMPLATES.items())
+
+ORACLE_SQL["op6_license_scan"] = f"""
+WITH t(template, ws, n, w) AS (VALUES {_TEMPLATE_ROWS}),
+ts AS (SELECT template, n, w, list_distinct(list_transform(range(1, len(ws) - n + 2), lambda i: array_to_string(ws[i:i+n-1], ' '))) AS s FROM t),
+d AS (SELECT doc_id, string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g')), ' ') AS ws FROM documents),
+k AS (SELECT DISTINCT n FROM t),
+g AS (SELECT doc_id, n, list_transform(range(1, len(ws) - n + 2), lambda i: array_to_string(ws[i:i+n-1], ' ')) AS gs FROM d, k),
+s AS (SELECT doc_id, n, unnest(range(1, len(gs) + 1)) AS i, unnest(gs) AS g FROM g),
+x AS (SELECT template, n, w, len(s) AS n_template, unnest(s) AS g FROM ts),
+h AS (SELECT doc_id, template, x.n, w, n_template, i, s.g FROM s JOIN x ON s.g = x.g AND s.n = x.n),
+v AS (SELECT *, unnest(range(0, (i - 1) // (w // 2) + 1)) AS win FROM h),
+c AS (SELECT doc_id, template, win * (w // 2) AS first, n_template, count(DISTINCT g) AS n_shared FROM v
+      WHERE i - 1 >= win * (w // 2) AND i - 1 + n <= win * (w // 2) + w GROUP BY ALL)
+SELECT doc_id, template, max(n_shared) AS n_shared, CAST(max(n_template) AS BIGINT) AS n_template,
+       CAST(min(first) AS BIGINT) AS first_word, count(DISTINCT first) AS n_windows
+FROM c WHERE 100 * n_shared >= 80 * n_template GROUP BY doc_id, template
+"""
