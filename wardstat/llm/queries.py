@@ -13,6 +13,7 @@ from wardstat.llm.license_scan import SHINGLE, TEMPLATES, scan, size_class, temp
 from wardstat.llm.line_dedup import dedup_lines
 from wardstat.llm.near_dedup import near_duplicates
 from wardstat.llm.packing import pack
+from wardstat.llm.passage_dedup import near_passages
 from wardstat.llm.quality_rules import quality
 from wardstat.llm.suffix_dedup import dedup_substrings
 from wardstat.session import ensure_checkpoint_dir
@@ -196,3 +197,9 @@ SELECT doc_id, template, max(n_shared) AS n_shared, CAST(max(n_template) AS BIGI
        CAST(min(first) AS BIGINT) AS first_word, count(DISTINCT first) AS n_windows
 FROM c WHERE 100 * n_shared >= 80 * n_template GROUP BY doc_id, template
 """
+
+
+@query
+def op1_substring_dedup(spark, sf_dir):
+    """Documents that share near-duplicate passages of 50 words or more."""
+    return near_passages(spark, table(spark, sf_dir, "documents"))
