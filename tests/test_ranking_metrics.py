@@ -29,7 +29,7 @@ def scored(spark):
 
 def test_distributed_row_number_matches_window(spark, scored):
     got = R.row_number_distributed(scored, [F.col("score"), F.col("facility_id")],
-                                   R.quantile_bucket(scored, "score", 16), ["label"], with_count=True)
+                                   R.range_bucket(scored, "score", min_buckets=16), ["label"], with_count=True)
     want = scored.withColumn("rn", F.row_number().over(
         Window.partitionBy("label").orderBy("score", "facility_id")))
     a = {r["facility_id"]: (r["rn"], r["rn_total"]) for r in got.collect()}
@@ -111,7 +111,23 @@ def test_sample_rows_is_seeded_topk(spark, scored):
 def test_range_bucket_rank_matches_window(spark):
     from pyspark.sql import Window
     df = spark.range(0, 5000).select((F.col("id") * 3 % 4999).alias("k"), (F.col("id") % 7).alias("t"))
-    b = R.range_bucket(df, "k", target_rows=100)  # ~50 buckets
+    b = R.range_bucket(df, "k", target_rows=10)  # ~500 buckets
     got = R.row_number_distributed(df, [F.col("k"), F.col("t")], b).select("k", "t", "rn")
     want = df.withColumn("rn", F.row_number().over(Window.orderBy("k", "t")))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_range_bucket_splits_dense_range_beside_an_outlier(spark):
+    df = spark.range(0, 10_000).select(F.when(F.col("id") == 0, 10 ** 12).otherwise(F.col("id")).alias("k"))
+    sizes = df.groupBy(R.range_bucket(df, "k", target_rows=50).alias("b")).count().agg(F.max("count")).first()[0]
+    assert sizes < 500
+
+
+def test_null_keys_are_ranked_and_split_like_others(spark):
+    rows = [("a", 0), ("b", None), (None, 1), ("d", 1), ("e", None)]
+    df = spark.createDataFrame(rows, "facility_id string, high_readmission_risk int")
+    assert R.stratified_split(df).count() == 5
+    scored = spark.createDataFrame([(None, 1, 0.9), (None, 0, 0.1), (1, 1, 0.2), (1, 0, 0.8)],
+                                   "fold int, label int, score double")
+    auc = {r["fold"]: r["auc"] for r in M.roc_auc(scored, by=["fold"]).collect()}
+    assert auc == {None: 1.0, 1: 0.0}

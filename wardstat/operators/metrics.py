@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstat.operators.ranking import prefix_sums, quantile_bucket
+from wardstat.operators.ranking import prefix_sums, range_bucket
 
 CUT = 0.5
 
@@ -49,7 +49,7 @@ def binary_metrics(scored: DataFrame, label: str = "label", score: str = "score"
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
-            by: list[str] | None = None, n_buckets: int = 256,
+            by: list[str] | None = None, min_buckets: int = 128,
             checkpoint: bool = True) -> DataFrame:
     """Exact ROC AUC with ties counted half, per `by` group.
 
@@ -69,8 +69,9 @@ def roc_auc(scored: DataFrame, label: str = "label", score: str = "score",
                       F.count_if(F.col(label) != 1).cast("double").alias("neg")))
     if checkpoint:
         per_score = per_score.checkpoint(eager=True)
-    bucket = quantile_bucket(per_score, score, n_buckets)
-    run = prefix_sums(per_score, [F.col(score)], {"neg_below": F.col("neg")}, bucket, by)
+    bucket = range_bucket(per_score, score, min_buckets=min_buckets)
+    run = prefix_sums(per_score, [F.col(score)], {"neg_below": F.col("neg")}, bucket, by,
+                      materialised=checkpoint)
     return (run.groupBy(*by)
             .agg(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)).alias("_u"),
                  F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))

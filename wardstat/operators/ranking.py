@@ -4,10 +4,7 @@
 task. Here the ordered domain is cut into buckets by an expression that is
 monotone in the sort key; each bucket is ranked on its own (one window
 partition per bucket, spread over the cluster), and a per-bucket total
-table -- a few thousand rows at most, bounded by the bucket count -- gives
-every bucket its offset. The offset table is broadcast; its size is bounded
-by `buckets x distinct(partition_by)`, and callers only partition by
-low-cardinality columns (the 0/1 label).
+table (one row per bucket and partition value) gives every bucket its offset.
 
 Used by the stratified split and folds (md5 order), the exact ROC AUC
 (running sums over distinct scores) and the training state vocabulary.
@@ -33,56 +30,50 @@ def first_char_bucket(text_col: Column) -> Column:
     return F.substring(text_col, 1, 1)
 
 
-def quantile_bucket(df: DataFrame, col: str, n_buckets: int = 256,
-                    accuracy: int = 10000) -> Column:
-    """Monotone bucket of a numeric column from approximate quantiles.
-
-    The bounds (at most `n_buckets - 1` numbers) come from one
-    `percentile_approx` aggregation; approximate bounds only change how
-    even the buckets are, never the result. The expression is a balanced
-    CASE tree, so each row does log2(n_buckets) comparisons in codegen.
-    NULL sorts first, as in Spark's ascending order.
-    """
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, accuracy).alias("b")).first()
-    bounds = sorted(set(x for x in (row["b"] or []) if x is not None))
-    c = F.col(col).cast("double")
-
-    def tree(lo: int, hi: int) -> Column:
-        # buckets lo..hi; bucket i holds values in (bounds[i-1], bounds[i]]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(c <= F.lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    expr = tree(0, len(bounds)) if bounds else F.lit(0)
-    return F.when(c.isNull(), F.lit(-1)).otherwise(expr)
-
-
 def range_bucket(df: DataFrame, col: str, target_rows: int = 2_000_000,
-                 min_buckets: int = 256) -> Column:
-    """Monotone bucket of an integral column whose number of buckets grows
-    with the data: max(min_buckets, count / target_rows) buckets, i.e. at
-    most about `target_rows` rows per bucket when the values are dense
-    (order keys, ids), and at least `min_buckets` for parallelism on small
-    inputs. One aggregation (min, max, count) sizes the width; the bucket is
-    plain arithmetic, so any bucket count is cheap. The offset table has one
-    row per bucket.
+                 min_buckets: int = 128, accuracy: int = 10000) -> Column:
+    """Monotone bucket of a numeric column; the number of buckets grows with
+    the data: max(min_buckets, count / target_rows).
+
+    Approximate quantiles cut the values into at most 128 ranges of about
+    equal rows, so dense ranges are split and an outlier costs nothing; when
+    more buckets are needed, every range is cut further into equal widths.
+    One aggregation (quantiles, min, max, count) sizes all of it, and the
+    expression is a balanced CASE tree of 128 leaves at most. NULL comes
+    first, as in Spark's ascending order.
     """
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(col).alias("n")).first()
-    if row["n"] == 0 or row["lo"] is None:
+    x = F.col(col).cast("double")
+    probs = [i / 128 for i in range(1, 128)]
+    row = df.agg(F.percentile_approx(x, probs, accuracy).alias("b"), F.min(x).alias("lo"),
+                 F.max(x).alias("hi"), F.count(x).alias("n")).first()
+    if not row["n"]:
         return F.lit(0).cast("long")
-    span = int(row["hi"]) - int(row["lo"]) + 1
+    bounds = sorted(set(row["b"]) - {row["hi"]})
     buckets = max(int(min_buckets), -(-int(row["n"]) // int(target_rows)))
-    width = max(1, -(-span // buckets))  # ceil
-    c = F.col(col).cast("long")
-    return F.when(c.isNull(), F.lit(-1).cast("long")).otherwise(
-        F.floor((c - F.lit(int(row["lo"]))) / F.lit(width)).cast("long"))
+    parts = -(-buckets // (len(bounds) + 1))  # equal widths within a range
+    edges = [row["lo"], *bounds, row["hi"]]
+
+    def leaf(i: int) -> Column:
+        lo, hi = edges[i], edges[i + 1]
+        base = F.lit(i * parts).cast("long")
+        if parts == 1 or not lo < hi:
+            return base
+        cut = F.floor((x - F.lit(lo)) * F.lit(parts / (hi - lo))).cast("long")
+        return base + F.least(F.greatest(cut, F.lit(0)), F.lit(parts - 1))
+
+    def tree(i: int, j: int) -> Column:
+        # ranges i..j; range k holds values in (edges[k], edges[k + 1]]
+        if i == j:
+            return leaf(i)
+        mid = (i + j) // 2
+        return F.when(x <= F.lit(bounds[mid]), tree(i, mid)).otherwise(tree(mid + 1, j))
+
+    return F.when(x.isNull(), F.lit(-1).cast("long")).otherwise(tree(0, len(bounds)))
 
 
 def prefix_sums(df: DataFrame, order_by: list, values: dict[str, Column], bucket: Column,
                 partition_by: list[str] | None = None, inclusive: bool = False,
-                totals: bool = False) -> DataFrame:
+                totals: bool = False, materialised: bool = False) -> DataFrame:
     """Add, for every name in `values`, the sum of that value over the rows
     ordered before this row (within `partition_by`); `inclusive` also counts
     the row itself. `bucket` must be non-decreasing in `order_by`.
@@ -91,43 +82,42 @@ def prefix_sums(df: DataFrame, order_by: list, values: dict[str, Column], bucket
     Ties in `order_by` are broken arbitrarily, as `row_number` does.
 
     Balance contract: one bucket is one window partition, so callers choose
-    buckets that cannot concentrate rows -- hash prefixes of unique keys,
-    quantile bounds over distinct values, or existing input partitions.
-    The offsets table has one row per (partition_by value, bucket) and is
-    broadcast; callers partition only by low-cardinality columns.
+    buckets that cannot concentrate rows -- hash prefixes of unique keys or
+    `range_bucket`. NULL is a value like any other in `partition_by` and in
+    the bucket (both sit in a struct key, which compares NULLs as equal).
+
+    The offsets table has one row per (partition_by value, bucket). It is
+    joined on the key the window is already partitioned by, without a hint:
+    only the offsets are shuffled, and AQE broadcasts them when it has
+    measured them to be small. `materialised=True` says that `df` is cheap to
+    read again; the bucket totals then come from a partial aggregation of it.
     """
     parts = list(partition_by or [])
-    keyed = df.withColumn(_B, bucket).withColumns({f"_rk_v_{k}": v for k, v in values.items()})
+    part = F.struct(*parts) if parts else F.struct(F.lit(0).alias("all"))
+    keyed = (df.withColumn(_B, F.struct(part.alias("part"), bucket.alias("bucket")))
+             .withColumns({f"_rk_v_{k}": v for k, v in values.items()}))
     frame_end = Window.currentRow if inclusive else -1
-    w_local = (Window.partitionBy(*parts, _B).orderBy(*order_by)
-               .rowsBetween(Window.unboundedPreceding, frame_end))
-    # Same partitioning and ordering as w_local (whole-partition frame), so
-    # both branches need the same columns below the exchange.
-    w_bucket = (Window.partitionBy(*parts, _B).orderBy(*order_by)
-                .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    w_local = Window.partitionBy(_B).orderBy(*parts, *order_by).rowsBetween(Window.unboundedPreceding, frame_end)
     local = keyed.withColumns({
-        **{f"_rk_l_{k}": F.coalesce(F.sum(f"_rk_v_{k}").over(w_local), F.lit(0)) for k in values},
-        **{f"_rk_b_{k}": F.sum(f"_rk_v_{k}").over(w_bucket) for k in values},
-    })
-    # Per-bucket totals come from a window column, so they read the windowed
-    # frame: it is already hash-partitioned by (partition_by, bucket), the
-    # aggregation needs no exchange, and Spark reuses the window's exchange
-    # for both consumers (ReusedExchange) -- the input is read and shuffled
-    # once. (A plain groupBy of the input would be planned as a second
-    # partial aggregation over a second read of the input.)
-    per_bucket = local.groupBy(*parts, _B).agg(
-        *[F.max(f"_rk_b_{k}").alias(f"_rk_t_{k}") for k in values])
-    w_off = Window.partitionBy(*parts).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offset_cols = [F.coalesce(F.sum(f"_rk_t_{k}").over(w_off), F.lit(0)).alias(f"_rk_o_{k}")
-                   for k in values]
+        f"_rk_l_{k}": F.coalesce(F.sum(f"_rk_v_{k}").over(w_local), F.lit(0)) for k in values})
+    if materialised:
+        per_bucket = keyed.groupBy(_B).agg(*[F.sum(f"_rk_v_{k}").alias(f"_rk_t_{k}") for k in values])
+    else:
+        # Totals from a window column of the same partitioning and ordering:
+        # the aggregation needs no exchange and reuses the window's, so the
+        # input is read and shuffled once.
+        w_bucket = (Window.partitionBy(_B).orderBy(*parts, *order_by)
+                    .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        local = local.withColumns({f"_rk_b_{k}": F.sum(f"_rk_v_{k}").over(w_bucket) for k in values})
+        per_bucket = local.groupBy(_B).agg(*[F.max(f"_rk_b_{k}").alias(f"_rk_t_{k}") for k in values])
+    w_off = Window.partitionBy(f"{_B}.part").orderBy(f"{_B}.bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offset_cols = [F.coalesce(F.sum(f"_rk_t_{k}").over(w_off), F.lit(0)).alias(f"_rk_o_{k}") for k in values]
     if totals:
-        w_all = Window.partitionBy(*parts)
+        w_all = Window.partitionBy(f"{_B}.part")
         offset_cols += [F.sum(f"_rk_t_{k}").over(w_all).alias(f"{k}_total") for k in values]
-    offsets = per_bucket.select(*parts, _B, *offset_cols)
-    out = local.join(F.broadcast(offsets), [*parts, _B], "inner")
+    out = local.join(per_bucket.select(_B, *offset_cols), _B)
     out = out.withColumns({k: F.col(f"_rk_o_{k}") + F.col(f"_rk_l_{k}") for k in values})
-    drop = [_B] + [f"_rk_{p}_{k}" for k in values for p in ("v", "l", "b", "o")]
-    return out.drop(*drop)
+    return out.drop(_B, *[f"_rk_{p}_{k}" for k in values for p in ("v", "l", "b", "o")])
 
 
 def row_number_distributed(df: DataFrame, order_by: list, bucket: Column,
