@@ -39,9 +39,10 @@ def test_recent_predictions_clamp_and_parse(spark):
     top = MO.recent_predictions(df, 2)
     assert [r["id"] for r in top.collect()] == [5, 4]
     assert "input_features" not in top.columns
-    assert MO.recent_predictions(df, 5000).count() == 5
-    with pytest.raises(ValueError):
-        MO.recent_predictions(df, 0)
+    assert MO.recent_predictions(df, 1000).count() == 5
+    for n in (0, 1001):
+        with pytest.raises(ValueError):
+            MO.recent_predictions(df, n)
     p = {r["id"]: r for r in MO.parse_features(df).collect()}
     assert p[3]["features"] is None and p[3]["raw_features"] == "not json"
     assert p[1]["features"] == {"a": 2.5} and p[1]["raw_features"] is None

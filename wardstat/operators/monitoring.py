@@ -6,12 +6,13 @@ these are single-pass aggregations or top-k scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardstat.functions.tiers import risk_tier, score_percent
-from wardstat.schemas import HISTORY_MAX, TIERS
+from wardstat.schemas import HISTORY_MAX, LOG_SCHEMA, TIERS
+from wardstat.session import path_exists
 
 FEATURES_TYPE = T.MapType(T.StringType(), T.DoubleType())
 
@@ -26,25 +27,34 @@ def parse_features(log: DataFrame) -> DataFrame:
 
 def recent_predictions(log: DataFrame, n: int = 100, since=None,
                        hide_features: bool = True) -> DataFrame:
-    """The n most recent rows by id, newest first; n is clamped to 1..1000.
+    """The n most recent rows by (timestamp, id), newest first; n outside
+    1..1000 is refused.
 
     `orderBy(desc).limit(n)` is planned as TakeOrderedAndProject: each task
     keeps its own top n, so no full sort. `since` (a date) prunes
     `log_date` partitions first when the log is partitioned.
     """
-    if n < 1:
-        raise ValueError("n must be at least 1")
-    n = min(n, HISTORY_MAX)
+    if not 1 <= n <= HISTORY_MAX:
+        raise ValueError(f"n must be in 1..{HISTORY_MAX}")
     src = log
     if since is not None and "log_date" in log.columns:
         src = src.filter(F.col("log_date") >= F.lit(since))
-    top = src.orderBy(F.col("id").desc()).limit(n)
+    newest = [F.col(c).desc() for c in ("timestamp", "id") if c in src.columns]
+    top = src.orderBy(*newest).limit(n)
     out = parse_features(top)
     if hide_features:
         out = out.drop("input_features", "features", "raw_features")
     return out
 
 
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The prediction log at `path`; an empty frame of its schema if there is none yet."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], LOG_SCHEMA)
+    log = spark.read.parquet(path)
+    return log.select(*LOG_SCHEMA.fieldNames(), *[c for c in log.columns if c not in LOG_SCHEMA.fieldNames()])
+
+
 def score_series(log: DataFrame) -> DataFrame:
     """Scores ordered by time, with percentage and tier band."""
     return (log.select("timestamp", "risk_score",
@@ -86,15 +96,15 @@ def state_risk(scored: DataFrame, min_states: int = 2) -> DataFrame:
     """Mean score and count per state (NULL states dropped); no rows when
     fewer than `min_states` states remain.
 
-    The guard is a scalar subquery (the number of grouped rows), planned as
-    a global aggregate with partial aggregation whose single value filters
-    the grouped rows; no window collects the states into one partition.
+    The guard counts the grouped rows by a window over them -- one row per
+    state, a bounded set -- so the log is scanned once.
     """
     grouped = (scored.filter(F.col("state").isNotNull())
                .groupBy("state")
                .agg(F.avg("risk_score").alias("mean_risk"), F.count(F.lit(1)).alias("n")))
-    n_states = grouped.select(F.count(F.lit(1))).scalar()
-    return grouped.filter(n_states >= F.lit(min_states))
+    everything = Window.partitionBy(F.lit(0))
+    return (grouped.withColumn("_states", F.count(F.lit(1)).over(everything))
+            .filter(F.col("_states") >= F.lit(min_states)).drop("_states"))
 
 
 def risk_windows(log: DataFrame, duration: str = "1 day", time_col: str = "timestamp") -> DataFrame:

@@ -1,18 +1,19 @@
 """Batch scoring: validate -> assemble -> model -> tier -> sinks + summary.
 
-One Spark job graph per batch: invalid rows are split off with their
-reasons (not fatal unless `strict`), the scored frame is persisted once
-because two sinks (results, prediction log) and the summary read it, and
-the log append is one bulk parquet write per batch, partitioned by
-`log_date` and `batch_id` with dynamic partition overwrite, so a replayed
-batch replaces its own rows instead of duplicating them. A failing log
-write is reported and never fails the scoring.
+The batch is numbered and written to the shared folder once; validation,
+scoring, the rejected rows and the log all read that copy, so they agree on
+the ordinals whatever is recomputed. Invalid rows are split off with their
+reasons (not fatal unless `strict`). The log append is one bulk parquet
+write per batch, partitioned by `source_id` and `batch_id` with dynamic
+partition overwrite: a batch replayed by its source -- on whatever day --
+replaces its own rows, and batches of different sources or calls never meet.
+A failing log write is reported and never fails the scoring.
 """
 
 from __future__ import annotations
 
 import logging
-import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -26,11 +27,11 @@ from wardstat.operators.ranking import prefix_sums
 from wardstat.operators.scoring import features_json, response_rows, tier_and_round
 from wardstat.plans.model import LoadedModel, positive_probability, prepare
 from wardstat.schemas import ID_COLUMNS
+from wardstat.session import scratch_dir
 
 log = logging.getLogger(__name__)
 
-# id = batch_id * ID_STRIDE + ordinal (ordinal < ID_STRIDE within a batch)
-ID_STRIDE = 10 ** 11
+MAX_BATCH = 500  # rows of a strict batch
 
 
 def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
@@ -38,8 +39,8 @@ def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
 
     A distributed zipWithIndex: each input partition is numbered locally
     and shifted by the sizes of the partitions before it (a table with one
-    row per partition, broadcast). Scan order is stable for a file source,
-    so a recomputed partition gets the same numbers.
+    row per partition). A recomputed partition of a shuffled input may be
+    numbered otherwise, so callers write the result once and read that.
     """
     if name in df.columns:
         return df
@@ -84,25 +85,31 @@ class BatchResult:
             self.scored.unpersist()
 
 
-def log_rows(scored: DataFrame, batch_id: int, model_version: str) -> DataFrame:
+def new_batch_id() -> int:
+    """A random 62-bit number: unique without a registry."""
+    return uuid.uuid4().int >> 66
+
+
+def log_rows(scored: DataFrame, batch_id: int, model_version: str, source_id: str = "batch") -> DataFrame:
     """Prediction-log rows of a scored batch: features as JSON text (NULL
     features left out, carried through scoring), the unrounded score, the
-    tier and the batch time."""
+    tier and the batch time. A row's key is (source_id, batch_id, ordinal);
+    `id` is its 64-bit hash, the same in a replay."""
     return (scored
-            .select((F.lit(int(batch_id)) * F.lit(ID_STRIDE) + F.col("ordinal")).alias("id"),
+            .select(F.xxhash64(F.lit(source_id), F.lit(int(batch_id)).cast("long"), F.col("ordinal").cast("long")).alias("id"),
                     F.current_timestamp().alias("timestamp"),
                     *ID_COLUMNS, "input_features",
                     F.col("probability_1").alias("risk_score"), "risk_level",
-                    F.lit(model_version).alias("model_version"),
-                    F.lit(int(batch_id)).cast("long").alias("batch_id"))
+                    F.lit(model_version).alias("model_version"), F.col("ordinal").cast("long").alias("ordinal"),
+                    F.lit(source_id).alias("source_id"), F.lit(int(batch_id)).cast("long").alias("batch_id"))
             .withColumn("log_date", F.to_date("timestamp")))
 
 
 def append_log(rows: DataFrame, path: str) -> bool:
-    """One bulk write per batch; replaces only this batch's partitions."""
+    """One bulk write per batch; replaces only this batch's own partition."""
     try:
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("log_date", "batch_id").parquet(path))
+         .partitionBy("source_id", "batch_id").parquet(path))
         return True
     except Exception:  # the log must never fail scoring
         log.exception("prediction log append failed")
@@ -112,16 +119,19 @@ def append_log(rows: DataFrame, path: str) -> bool:
 def score_batch(spark: SparkSession, model: LoadedModel, requests: DataFrame,
                 log_path: str | None = None, results_path: str | None = None,
                 batch_id: int | None = None, clip: bool = False, strict: bool = False,
-                max_rows: int | None = None) -> BatchResult:
+                max_rows: int | None = None, source_id: str = "batch") -> BatchResult:
     """Score a request batch.
 
-    `strict` refuses the whole batch when it is empty, above `max_rows`, or
-    has an invalid row (the API's behaviour); by default invalid rows are
-    returned in `rejected` and the rest is scored, with no size cap.
+    `strict` refuses the whole batch when it is empty, above `max_rows`
+    (MAX_BATCH unless given), or has an invalid row (the API's behaviour); by
+    default invalid rows are returned in `rejected` and the rest is scored,
+    with no size cap. To replay a batch, give its `source_id` and `batch_id`.
     """
     if strict:
-        guard_batch(requests, max_rows)
-    req = with_ordinal(requests)
+        guard_batch(requests, MAX_BATCH if max_rows is None else max_rows)
+    stored = scratch_dir(spark, "requests")
+    with_ordinal(requests).write.parquet(stored)
+    req = spark.read.parquet(stored)
     if clip:
         req = clip_to_bounds(req)
     valid, rejected = split_requests(req)
@@ -130,9 +140,9 @@ def score_batch(spark: SparkSession, model: LoadedModel, requests: DataFrame,
     if log_path:
         valid = features_json(valid)
     scored = tier_and_round(score_frame(model, valid)).persist(StorageLevel.MEMORY_AND_DISK)
-    bid = int(batch_id if batch_id is not None else time.time() // 60)
     if log_path:
-        append_log(log_rows(scored, bid, model.version), log_path)
+        bid = new_batch_id() if batch_id is None else int(batch_id)
+        append_log(log_rows(scored, bid, model.version, source_id), log_path)
     responses = response_rows(scored, model.version)
     if results_path:
         responses.write.mode("overwrite").parquet(results_path)

@@ -8,21 +8,28 @@ The stream itself is stateless.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from wardstat.plans.model import LoadedModel
 from wardstat.plans.score import score_batch
-from wardstat.schemas import REQUEST_SCHEMA
+from wardstat.sources.files import request_text_schema, type_requests
 
 
 def start_scoring_stream(spark: SparkSession, model: LoadedModel, source_dir: str, out_dir: str,
                          checkpoint_dir: str, available_now: bool = True,
-                         processing_time: str | None = None) -> StreamingQuery:
-    stream = spark.readStream.schema(REQUEST_SCHEMA).json(source_dir)
+                         processing_time: str | None = None, source_id: str | None = None) -> StreamingQuery:
+    """`source_id` names the stream in the log; by default it follows from the
+    checkpoint folder, so a restarted stream replays under its own name and
+    two streams that log to one place stay apart. Requests are read as text
+    and typed like a CSV upload: numeric text is accepted, other text rejected."""
+    source = source_id or "stream-" + hashlib.sha256(checkpoint_dir.encode()).hexdigest()[:12]
+    stream = type_requests(spark.readStream.schema(request_text_schema()).json(source_dir))
 
     def run_batch(df, batch_id: int) -> None:
-        res = score_batch(spark, model, df, log_path=f"{out_dir}/log", batch_id=batch_id)
+        res = score_batch(spark, model, df, log_path=f"{out_dir}/log", batch_id=batch_id, source_id=source)
         res.responses.write.mode("overwrite").parquet(f"{out_dir}/scored/batch_id={batch_id}")
         res.rejected.write.mode("overwrite").parquet(f"{out_dir}/rejected/batch_id={batch_id}")
         res.summary.write.mode("overwrite").parquet(f"{out_dir}/summary/batch_id={batch_id}")
