@@ -16,7 +16,7 @@ from wardstat.schemas import PAGE_SCHEMA, PAGE_SIZE, RAW_FIELDS
 
 
 def to_pages(rows: DataFrame, order_by: list[str], page_size: int = PAGE_SIZE,
-             rows_per_bucket: int = 2_000_000) -> DataFrame:
+             rows_per_bucket: int = 2_000_000, keys: DataFrame | None = None) -> DataFrame:
     """Cut rows into pages of `page_size` in `order_by` order.
 
     The global ordinal is a distributed row number bucketed on the first
@@ -24,10 +24,11 @@ def to_pages(rows: DataFrame, order_by: list[str], page_size: int = PAGE_SIZE,
     count grows with the rows, so every window task holds about
     `rows_per_bucket` rows at any scale. Each page is then one bounded
     `collect_list` group of at most `page_size` rows, sorted inside the page
-    by the ordinal.
+    by the ordinal. `keys` may hold the first order column alone (the table
+    it comes from), so that the buckets are sized without running `rows`.
     """
     ranked = row_number_distributed(rows, [F.col(c) for c in order_by],
-                                    range_bucket(rows, order_by[0], rows_per_bucket), name="_row",
+                                    range_bucket(rows if keys is None else keys, order_by[0], rows_per_bucket), name="_row",
                                     with_count=True)
     page = F.floor((F.col("_row") - 1) / F.lit(page_size))
     row = F.struct(F.col("_row"), *[F.col(c) for c in RAW_FIELDS])
@@ -39,9 +40,9 @@ def to_pages(rows: DataFrame, order_by: list[str], page_size: int = PAGE_SIZE,
 
 
 def land_pages(rows: DataFrame, out_dir: str, order_by: list[str],
-               page_size: int = PAGE_SIZE) -> str:
+               page_size: int = PAGE_SIZE, keys: DataFrame | None = None) -> str:
     """Write page payloads as JSON lines under `out_dir` (overwrite)."""
-    to_pages(rows, order_by, page_size).write.mode("overwrite").json(out_dir)
+    to_pages(rows, order_by, page_size, keys=keys).write.mode("overwrite").json(out_dir)
     return out_dir
 
 
