@@ -68,6 +68,20 @@ def test_request_csv_roundtrip_and_type_errors(spark, tmp):
     rows = {r["facility_id"]: r for r in df.collect()}
     assert rows["010001"]["type_errors"] == ["ami_excess_ratio_not_numeric"]
     assert rows["010002"]["ami_excess_ratio"] == 1.1 and rows["010002"]["type_errors"] == []
+    # bad text rejects the row, whatever else it holds; the record comes along
+    valid, rejected = Q.split_requests(df)
+    bad = rejected.first()
+    assert [r["facility_id"] for r in valid.collect()] == ["010002"] and "type_errors" not in valid.columns
+    assert bad["errors"][0] == "ami_excess_ratio_not_numeric" and "not-a-number" in bad["raw_record"]
+    # JSON requests are typed the same way: numeric text is a number
+    with open(f"{tmp}/r.json", "w") as f:
+        f.write('{"facility_id": "a", "ami_excess_ratio": "1.1"}\n{"facility_id": "b", "ami_excess_ratio": 1.2}\n'
+                '{"facility_id": "c", "ami_excess_ratio": 1.0, "hf_discharges": "many"}\n')
+    typed = FI.type_requests(spark.read.schema(FI.request_text_schema()).json(f"{tmp}/r.json"))
+    got = {r["facility_id"]: r["errors"] for r in Q.with_request_errors(typed).collect()}
+    assert got == {"a": [], "b": [], "c": ["hf_discharges_not_numeric"]}
+    text = spark.createDataFrame([("1.5d", "7", "2")], "ami_excess_ratio string, mean_excess_ratio string, x string")
+    assert tuple(Q.clip_to_bounds(text).first()) == (None, 5.0, "2")
     FI.write_request_template(spark, f"{tmp}/tpl")
     tpl = spark.read.option("header", True).csv(f"{tmp}/tpl")
     assert tpl.columns == REQUEST_SCHEMA.fieldNames() and tpl.count() == 0

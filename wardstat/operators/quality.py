@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardstat.functions.numeric import clip, nan_to_null
+from wardstat.functions.numeric import clip, nan_to_null, tolerant_double
 from wardstat.schemas import (
     EXCESS_COLUMNS, FEATURE_KEY_COLUMNS, FEATURE_RANGE_RULES, MEASURE_FEATURES, REQUEST_BOUNDS,
     REQUEST_COLUMNS, STATE_MAX_LENGTH, TARGET,
@@ -74,9 +74,13 @@ def feature_rules(df: DataFrame, key_columns: list[str] = FEATURE_KEY_COLUMNS,
     """Rule table `rule, column_name, observed, lo, hi, ok` from one aggregation.
 
     Rules: no NULL in each key column; min and max of each ranged column
-    within bounds (columns absent from `df` are skipped); label in {0, 1}.
+    within bounds (ranged columns absent from `df` are skipped); label in
+    {0, 1}. An absent key or label column raises.
     """
     have = set(df.columns)
+    absent = [c for c in [*key_columns, label] if c not in have]
+    if absent:
+        raise ValidationError(f"feature table has no column {', '.join(absent)}")
     aggs: list[Column] = []
     rows: list[tuple[str, str, str, float, float]] = []
     for c in key_columns:
@@ -158,25 +162,32 @@ def request_errors() -> Column:
 
 
 def with_request_errors(requests: DataFrame) -> DataFrame:
-    return requests.withColumn("errors", request_errors())
+    """`errors`: rules a row breaks, after what its source found wrong with
+    the types (`type_errors`, if the source has typed the rows)."""
+    errors = request_errors()
+    if "type_errors" in requests.columns:
+        errors = F.concat(F.coalesce("type_errors", F.array().cast("array<string>")), errors)
+    return requests.withColumn("errors", errors)
 
 
 def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected): rows without errors, and rows with their errors."""
     checked = with_request_errors(requests)
-    valid = checked.filter(F.size("errors") == 0).drop("errors")
+    valid = checked.filter(F.size("errors") == 0).drop("errors", "type_errors", "raw_record")
     rejected = checked.filter(F.size("errors") > 0)
     return valid, rejected
 
 
 def clip_to_bounds(df: DataFrame) -> DataFrame:
-    """Numeric coercion + clip by suffix: ratios 0..5, rates 0..100,
-    discharges >= 0; NULL (and NaN) stay missing."""
+    """Numeric coercion + clip by column suffix: ratios (their row mean, max
+    and min too) 0..5, rates 0..100, discharges >= 0; NULL, NaN and text that
+    is not a plain number stay missing."""
     out = {}
-    for c in df.columns:
+    for c, kind in df.dtypes:
         lo, hi = _bounds_for(c)
-        if c in MEASURE_FEATURES:
-            out[c] = clip(nan_to_null(F.col(c).try_cast("double")), lo, hi)
+        if (lo, hi) != (None, None):
+            value = tolerant_double(c) if kind == "string" else F.col(c).cast("double")
+            out[c] = clip(nan_to_null(value), lo, hi)
     return df.withColumns(out)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardstat.functions.numeric import tolerant_double
 from wardstat.operators.monitoring import results_export
 from wardstat.schemas import FEATURE_TABLE_COLUMNS, ID_COLUMNS, MEASURE_FEATURES, RAW_SCHEMA, REQUEST_SCHEMA
 from wardstat.session import path_exists
@@ -68,16 +69,21 @@ def read_request_csv(spark: SparkSession, path: str) -> DataFrame:
     """Request CSV with a header. Read as text, then typed: a value that is
     present but not a number is kept as an error (`type_errors`) instead of
     failing the whole file."""
-    from wardstat.functions.numeric import tolerant_double
+    return type_requests(spark.read.option("header", True).option("enforceSchema", False)
+                         .schema(request_text_schema()).csv(path))
 
-    text = (spark.read.option("header", True).option("enforceSchema", False)
-            .schema(request_text_schema()).csv(path))
+
+def type_requests(text: DataFrame) -> DataFrame:
+    """Request rows read as text -> typed rows, with `type_errors` (values
+    that are present but not a number; numeric text is accepted) and
+    `raw_record` (the row as it came, for the rejected output)."""
     typed = [F.col(c) for c in ID_COLUMNS]
     typed += [tolerant_double(c).alias(c) for c in MEASURE_FEATURES]
     bad = F.array_compact(F.array(*[
         F.when(F.col(c).isNotNull() & (F.trim(F.col(c)) != "") & tolerant_double(c).isNull(),
                F.lit(f"{c}_not_numeric")) for c in MEASURE_FEATURES]))
-    return text.select(*typed, bad.alias("type_errors"))
+    return text.select(*typed, bad.alias("type_errors"),
+                       F.to_json(F.struct(*request_text_schema().fieldNames())).alias("raw_record"))
 
 
 def write_request_csv(df: DataFrame, path: str) -> str:
