@@ -127,6 +127,9 @@ def test_validate_features_passes_and_fails(feats, spark):
     bad = feats.withColumn("mean_excess_ratio", F.lit(9.0))
     with pytest.raises(Q.ValidationError):
         Q.validate_features(bad, strict=True)
+    for c in ("facility_id", "high_readmission_risk"):
+        with pytest.raises(Q.ValidationError):
+            Q.validate_features(feats.drop(c), strict=False)
 
 
 def test_completeness_and_balance(feats):

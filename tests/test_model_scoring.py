@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from wardstat.operators import monitoring as MO
 from wardstat.plans import catalog
 from wardstat.plans import model as MD
 from wardstat.plans import score as SC
@@ -77,6 +78,18 @@ def test_score_batch_log_and_summary(spark, feats, trained, tmp):
     assert spark.read.parquet(f"{tmp}/log").count() == n_valid
     SC.score_batch(spark, lm, req, log_path=f"{tmp}/log", batch_id=2)
     assert spark.read.parquet(f"{tmp}/log").count() == 2 * n_valid
+    # the default batch is a new one each time; sources never meet; a replay
+    # on another day still replaces its rows
+    for _ in range(2):
+        SC.score_batch(spark, lm, req, log_path=f"{tmp}/log").release()
+    SC.score_batch(spark, lm, req, log_path=f"{tmp}/log", batch_id=1, source_id="other").release()
+    lg = MO.read_log(spark, f"{tmp}/log")
+    assert lg.count() == 5 * n_valid and lg.select("id").distinct().count() == 5 * n_valid
+    late = res.scored if res.scored is not None else None
+    rows = SC.log_rows(late, 1, "7").withColumn("log_date", F.date_add("log_date", 1))
+    assert SC.append_log(rows, f"{tmp}/log") and MO.read_log(spark, f"{tmp}/log").count() == 5 * n_valid
+    assert MO.prediction_stats(MO.read_log(spark, f"{tmp}/nothing")).first()["total"] == 0
+    assert lm.metrics["auc"] == trained.metrics["auc"] and dict(lm.importances) == dict(trained.importances)
     # features JSON leaves out nulls and ids
     j = spark.read.parquet(f"{tmp}/log").select("input_features").first()[0]
     assert "facility_id" not in j and "null" not in j
@@ -125,3 +138,24 @@ def test_serving_vocabulary_unknown_is_minus_one(spark):
                                   "facility_id string, state string, state_encoded double")
     out = {r["facility_id"]: r["state_encoded"] for r in SC.apply_vocabulary(feats, vocab).collect()}
     assert out == {"a": 1.0, "b": -1.0, "c": 2.0}
+
+
+def test_vocabulary_covers_states_seen_only_without_target(spark, tmp):
+    from wardstat.plans.feature_build import build_features
+    from wardstat.schemas import RAW_FIELDS
+
+    def row(i, state, ratio):
+        given = {"facility_id": i, "facility_name": i, "state": state, "measure_name": "READM-30-HF-HRRP",
+                 "excess_readmission_ratio": ratio, "predicted_readmission_rate": "10.0",
+                 "expected_readmission_rate": "10.0", "number_of_discharges": "50"}
+        return tuple(given.get(c, "") for c in RAW_FIELDS)
+
+    raw = spark.createDataFrame([row("h1", "AL", "1.1"), row("h2", "MA", "N/A"), row("h3", "NY", "0.9")],
+                                ", ".join(f"{c} string" for c in RAW_FIELDS))
+    raw.write.parquet(f"{tmp}/raw")
+    built = build_features(spark, f"{tmp}/raw", f"{tmp}/features", strict=False)
+    vocab = {r["state_key"]: r["state_encoded"] for r in built.vocabulary.collect()}
+    assert vocab == {"AL": 0, "MA": 1, "NY": 2}
+    assert {r["state"]: r["state_encoded"] for r in built.features.collect()} == {"AL": 0, "NY": 2}
+    served = SC.apply_vocabulary(spark.createDataFrame([("NY", 0.0)], "state string, state_encoded double"), built.vocabulary)
+    assert served.first()["state_encoded"] == 2.0

@@ -98,9 +98,14 @@ def add_target(df: DataFrame) -> DataFrame:
 
 def feature_table(wide: DataFrame) -> DataFrame:
     """Wide -> aggregates -> state code -> label, in the source's order:
-    the vocabulary is fitted before target-less hospitals are dropped."""
-    feats = encode_state(add_aggregate_features(wide))
-    return add_target(feats).select(*FEATURE_TABLE_COLUMNS)
+    the vocabulary is fitted before target-less hospitals are dropped.
+
+    The wide table is read twice (vocabulary, join), so it is checkpointed:
+    the pivot runs once, the vocabulary is counted cheaply and, within its
+    bound, broadcast -- the hospitals are not shuffled on their state.
+    """
+    wide = add_aggregate_features(wide).checkpoint(eager=True)
+    return add_target(encode_state(wide, check_size=True)).select(*FEATURE_TABLE_COLUMNS)
 
 
 def model_input(features: DataFrame) -> DataFrame:

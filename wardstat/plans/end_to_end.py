@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from wardstat.plans import model as MD
 from wardstat.plans.feature_build import build_features
 from wardstat.session import apply_query_settings
-from wardstat.streaming.ingest import ingest_pages
+from wardstat.streaming.ingest import capped, ingest_pages
 
 
 @dataclass
@@ -45,11 +45,11 @@ def run(spark: SparkSession, landing_dir: str, work_dir: str, n_trials: int = 50
     apply_query_settings(spark)
     paths = RunPaths.under(work_dir)
     pages = ingest_pages(spark, landing_dir, paths.raw, paths.ingest_checkpoint, max_rows=max_rows)
-    built = build_features(spark, paths.raw, paths.features, strict=True)
+    built = build_features(spark, capped(paths.raw, max_rows), paths.features, strict=True)
     res = MD.train(spark, built.features, n_trials=n_trials, parallelism=parallelism,
                    space=search_space)
     run_id = MD.new_run_id()
-    MD.save_model(spark, res, paths.model, MD.fit_vocabulary(built.features),
+    MD.save_model(spark, res, paths.model, built.vocabulary,
                   version=version or run_id[:8])
     if res.trials:
         MD.trial_frame(spark, run_id, res.trials).write.mode("append").parquet(paths.trials)

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from wardstat.operators.clean import clean_raw
-from wardstat.operators.features import add_aggregate_features, add_target, encode_state
+from wardstat.operators.features import add_aggregate_features, add_target, encode_state, state_vocabulary
 from wardstat.operators.pivot import pivot_wide
 from wardstat.operators.quality import completeness, ingest_report, validate_features
 from wardstat.schemas import FEATURE_TABLE_COLUMNS, ID_COLUMNS, TARGET
@@ -32,13 +32,24 @@ class BuildResult:
     rules: DataFrame
     report: DataFrame
     completeness: DataFrame
+    vocabulary: DataFrame
 
 
-def features_from_raw(raw: DataFrame, checkpoint: bool = True) -> DataFrame:
-    wide = add_aggregate_features(pivot_wide(clean_raw(raw)))
-    if checkpoint:
-        wide = wide.checkpoint(eager=True)
-    return add_target(encode_state(wide, check_size=checkpoint)).select(*FEATURE_TABLE_COLUMNS)
+def features_from_raw(raw: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
+    """Labelled feature table. The state vocabulary covers all hospitals, those
+    without a target too; with `vocabulary_path` it is written there, and the
+    codes of the table come from the written copy -- scoring loads the same."""
+    wide = add_aggregate_features(pivot_wide(clean_raw(raw))).checkpoint(eager=True)
+    vocabulary = None
+    if vocabulary_path:
+        write_parquet(state_vocabulary(wide), vocabulary_path)
+        vocabulary = raw.sparkSession.read.parquet(vocabulary_path)
+    return add_target(encode_state(wide, vocabulary, check_size=True)).select(*FEATURE_TABLE_COLUMNS)
+
+
+def vocabulary_path(features_path: str) -> str:
+    """Where the state vocabulary of a feature table lies: beside it."""
+    return f"{features_path.rstrip('/')}-state-vocabulary"
 
 
 def build_features(spark: SparkSession, raw_path: str, out_path: str,
@@ -46,9 +57,10 @@ def build_features(spark: SparkSession, raw_path: str, out_path: str,
     apply_query_settings(spark)
     ensure_checkpoint_dir(spark)
     raw = read_raw(spark, raw_path)
-    write_parquet(features_from_raw(raw), out_path)
+    write_parquet(features_from_raw(raw, vocabulary_path(out_path)), out_path)
     feats = read_features(spark, out_path)
     rules = validate_features(feats, strict=strict)
     cols = [c for c in FEATURE_TABLE_COLUMNS if c not in ID_COLUMNS + [TARGET]]
     return BuildResult(features=feats, rules=rules, report=ingest_report(raw),
-                       completeness=completeness(feats, cols))
+                       completeness=completeness(feats, cols),
+                       vocabulary=spark.read.parquet(vocabulary_path(out_path)))

@@ -142,14 +142,16 @@ def positive_probability(scored: DataFrame, out: str = "probability_1") -> DataF
 
 
 def importances(model: PipelineModel) -> list[tuple[str, float]]:
-    """(input name, importance) of the fitted booster; the few dozen
-    assembler inputs live in the model on the driver already."""
+    """(feature, importance) of the fitted booster: a feature's value and its
+    missing flag count together. The few dozen assembler inputs live in the
+    model on the driver already."""
     assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
     gbt = model.stages[-1]
-    names = [n[:-len(IMPUTED_SUFFIX)] if n.endswith(IMPUTED_SUFFIX) else n
-             for n in assembler.getInputCols()]
-    vals = gbt.featureImportances.toArray().tolist()
-    return list(zip(names, [float(v) for v in vals]))
+    total: dict[str, float] = {}
+    for name, v in zip(assembler.getInputCols(), gbt.featureImportances.toArray().tolist()):
+        feature = name.removesuffix(IMPUTED_SUFFIX).removesuffix(MISSING_SUFFIX)
+        total[feature] = total.get(feature, 0.0) + float(v)
+    return list(total.items())
 
 
 def train(spark: SparkSession, features_df: DataFrame, n_trials: int = 50,
@@ -254,9 +256,10 @@ def trial_frame(spark: SparkSession, run_id: str, trials: list[dict]) -> DataFra
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
-    """The trial with the highest mean CV AUC (per run)."""
+    """The trial with the highest mean CV AUC (per run; the first of equals)."""
     return (trials.groupBy("run_id")
-            .agg(F.max_by(F.struct("trial", "params", "cv_auc_mean", "cv_auc_std"), "cv_auc_mean").alias("b"))
+            .agg(F.max_by(F.struct("trial", "params", "cv_auc_mean", "cv_auc_std"),
+                            F.struct("cv_auc_mean", -F.col("trial"))).alias("b"))
             .select("run_id", "b.*"))
 
 
@@ -287,7 +290,8 @@ def save_model(spark: SparkSession, res: TrainResult, path: str,
     state vocabulary, all under `path`."""
     res.model.write().overwrite().save(f"{path}/pipeline")
     info = {"model_name": MODEL_NAME, "model_version": version, "feature_names": res.features,
-            "metrics": res.metrics, "best_params": {k: str(v) for k, v in res.best_params.items()}}
+            "metrics": res.metrics, "best_params": {k: str(v) for k, v in res.best_params.items()},
+            "importances": dict(res.importances)}
     spark.createDataFrame([(json.dumps(info),)], "info string").coalesce(1) \
         .write.mode("overwrite").text(f"{path}/info")
     if vocabulary is not None:
@@ -302,6 +306,9 @@ class LoadedModel:
     version: str
     name: str
     vocabulary: DataFrame | None = None
+    metrics: dict = field(default_factory=dict)
+    best_params: dict = field(default_factory=dict)
+    importances: list[tuple[str, float]] = field(default_factory=list)
 
 
 def load_model(spark: SparkSession, path: str) -> LoadedModel:
@@ -314,7 +321,9 @@ def load_model(spark: SparkSession, path: str) -> LoadedModel:
     if path_exists(spark, f"{path}/state_vocabulary"):
         vocab = spark.read.parquet(f"{path}/state_vocabulary")
     return LoadedModel(model=model, features=info["feature_names"], version=info["model_version"],
-                       name=info["model_name"], vocabulary=vocab)
+                       name=info["model_name"], vocabulary=vocab, metrics=info.get("metrics", {}),
+                       best_params=info.get("best_params", {}),
+                       importances=list(info.get("importances", {}).items()))
 
 
 def new_run_id() -> str:
