@@ -52,12 +52,21 @@ def test_incremental_ingest_no_duplicates(spark, tmp):
     page(2, 4)
     IN.ingest_pages(spark, land, out, ck)
     assert spark.read.parquet(out).count() == 9
+    # a capped run works apart: the full table stays full
+    assert IN.ingest_pages(spark, land, out, ck, max_rows=500) == 1  # page
+    assert spark.read.parquet(IN.capped(out, 500)).count() == 3
+    assert IN.ingest_pages(spark, land, out, ck) == 0 and spark.read.parquet(out).count() == 9
+    assert IN.load_or_refresh(spark, land, f"{tmp}/final", max_rows=500).count() == 3
     # cache-or-refresh
     cached = IN.load_or_refresh(spark, land, f"{tmp}/final")
     assert cached.count() == 9
     page(3, 1)
     assert IN.load_or_refresh(spark, land, f"{tmp}/final").count() == 9
     assert IN.load_or_refresh(spark, land, f"{tmp}/final", force=True).count() == 10
+    # a refresh and later incremental runs share output and checkpoint
+    page(4, 2)
+    assert IN.ingest_pages(spark, land, f"{tmp}/final", f"{tmp}/final-checkpoint") == 1
+    assert spark.read.parquet(f"{tmp}/final").count() == 12
 
 
 def test_missing_inputs_raise(spark, tmp):

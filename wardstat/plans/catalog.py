@@ -23,6 +23,7 @@ from wardstat.operators import quality as Q
 from wardstat.operators import ranking as R
 from wardstat.operators import scoring as S
 from wardstat.schemas import FEATURE_TABLE_COLUMNS, MODEL_FEATURES, TARGET
+from wardstat.plans.feature_build import features_from_raw, vocabulary_path
 from wardstat.session import apply_query_settings, scratch_dir
 from wardstat.sources import derived as D
 from wardstat.sources import files as FI
@@ -101,7 +102,8 @@ def q_scan_raw(spark, sf):
 def q_ingest_pages(spark, sf):
     """Land the raw rows as paged JSON, read them back through the page source."""
     out = scratch_dir(spark, "pages")
-    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), out, ["l_orderkey", "l_linenumber"])
+    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), out, ["l_orderkey", "l_linenumber"],
+                  keys=spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey"))
     return PG.read_pages(spark, out)
 
 
@@ -109,7 +111,8 @@ def q_ingest_pages(spark, sf):
 def q_ingest_capped(spark, sf):
     """Page source with a row cap: whole pages below the cap."""
     out = scratch_dir(spark, "pages")
-    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), out, ["l_orderkey", "l_linenumber"])
+    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), out, ["l_orderkey", "l_linenumber"],
+                  keys=spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey"))
     return PG.read_pages(spark, out, max_rows=CAPPED_ROWS)
 
 
@@ -118,7 +121,7 @@ def q_score_csv(spark, sf):
     """Request batch written as CSV and read back with the request schema."""
     out = scratch_dir(spark, "requests-csv")
     FI.write_request_csv(requests(spark, sf), out)
-    return FI.read_request_csv(spark, out).drop("type_errors")
+    return FI.read_request_csv(spark, out).drop("type_errors", "raw_record")
 
 
 # ---------------------------------------------------------------------------
@@ -427,12 +430,12 @@ def trained_model(spark, sf):
     """Fit (once per process and input folder) and save a model trained on
     the training split of the feature table; returns the loaded model."""
     from wardstat.plans import model as MD
-    key = ("fixed", sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        feats = features(spark, sf).checkpoint(eager=True)  # read by training and vocabulary
-        res = MD.train(spark, feats, fixed_params=FIXED_PARAMS)
         path = scratch_dir(spark, "model")
-        MD.save_model(spark, res, path, MD.fit_vocabulary(feats), version="1")
+        feats = features_from_raw(raw(spark, sf), vocabulary_path(path)).checkpoint(eager=True)
+        res = MD.train(spark, feats, fixed_params=FIXED_PARAMS)
+        MD.save_model(spark, res, path, spark.read.parquet(vocabulary_path(path)), version="1")
         _MODELS[key] = (res, MD.load_model(spark, path), path)
     return _MODELS[key]
 
@@ -495,7 +498,46 @@ def q_ingest_stream(spark, sf):
     """Pages landed from the raw rows, ingested by the incremental stream."""
     from wardstat.streaming.ingest import ingest_pages
     land = scratch_dir(spark, "landing")
-    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), land, ["l_orderkey", "l_linenumber"])
+    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), land, ["l_orderkey", "l_linenumber"],
+                  keys=spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey"))
     out, ck = scratch_dir(spark, "ingested"), scratch_dir(spark, "ingest-ckpt")
     ingest_pages(spark, land, out, ck)
     return spark.read.parquet(out)
+
+
+@query("ingest_capped_then_full")
+def q_ingest_capped_then_full(spark, sf):
+    """A capped trial run, then the full ingest of the same pages: nothing is lost."""
+    from wardstat.streaming.ingest import ingest_pages
+    land = scratch_dir(spark, "landing")
+    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), land, ["l_orderkey", "l_linenumber"],
+                  keys=spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey"))
+    out, ck = scratch_dir(spark, "ingested"), scratch_dir(spark, "ingest-ckpt")
+    ingest_pages(spark, land, out, ck, max_rows=CAPPED_ROWS)
+    ingest_pages(spark, land, out, ck)
+    return spark.read.parquet(out)
+
+
+@query("log_round_trip")
+def q_log_round_trip(spark, sf):
+    """Two sources log the same scored batch, one of them twice (a replay on
+    a later day); totals of the log as read back."""
+    from wardstat.plans import score as SC
+    out = scratch_dir(spark, "log")
+    batch = log(spark, sf).select("facility_id", "facility_name", "state", "input_features",
+                                  F.col("risk_score").alias("probability_1"), "risk_level",
+                                  F.col("id").alias("ordinal"))
+    for source, days in (("a", 0), ("b", 0), ("a", 1)):
+        rows = SC.log_rows(batch, 1, "1", source).withColumn("log_date", F.date_add("log_date", days))
+        SC.append_log(rows, out)
+    return MO.prediction_stats(MO.read_log(spark, out))
+
+
+@query("serving_vocabulary")
+def q_serving_vocabulary(spark, sf):
+    """State codes that scoring loads, beside the codes of the training table."""
+    path = scratch_dir(spark, "features")
+    feats = features_from_raw(raw(spark, sf), vocabulary_path(path))
+    vocab = spark.read.parquet(vocabulary_path(path))
+    used = feats.select(FE.state_key().alias("state_key"), F.col("state_encoded").alias("trained")).distinct()
+    return vocab.join(used, "state_key", "left").select("state_key", "state_encoded", "trained")

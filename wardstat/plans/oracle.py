@@ -276,6 +276,11 @@ def build() -> dict[str, str]:
     q["scan_raw"] = with_(RAW) + f"SELECT {raw_cols} FROM raw"
     q["ingest_pages"] = q["scan_raw"]
     q["ingest_stream"] = q["scan_raw"]
+    q["ingest_capped_then_full"] = q["scan_raw"]
+    q["serving_vocabulary"] = with_(*BASE_FEAT) + (
+        "SELECT DISTINCT coalesce(enc.state, 'Unknown') AS state_key, enc.state_encoded, f.state_encoded AS trained "
+        "FROM enc LEFT JOIN (SELECT DISTINCT coalesce(state, 'Unknown') AS k, state_encoded FROM feat) f "
+        "ON f.k = coalesce(enc.state, 'Unknown')")
     q["ingest_capped"] = with_(RAW) + (
         f"SELECT {raw_cols} FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS rn FROM raw) "
         f"WHERE ((rn - 1) // 500) * 500 < 1200")
@@ -408,7 +413,7 @@ def build() -> dict[str, str]:
     q["risk_level"] = with_(LOG) + f"SELECT id, round(risk_score, 6) AS risk_score, {tier('risk_score')} AS tier FROM log"
     q["recent_predictions"] = with_(LOG) + (
         "SELECT id, timestamp, facility_id, facility_name, state, round(risk_score, 6) AS risk_score, "
-        "risk_level, model_version FROM log ORDER BY id DESC LIMIT 100")
+        "risk_level, model_version FROM log ORDER BY timestamp DESC, id DESC LIMIT 100")
     ok = "(CASE WHEN json_valid(input_features) THEN json_type(input_features) = 'OBJECT' ELSE false END)"
     q["parse_features"] = with_(LOG) + (
         f"SELECT id, {ok} AS parsed_ok, "
@@ -417,6 +422,11 @@ def build() -> dict[str, str]:
     q["score_series"] = with_(LOG) + (
         f"SELECT timestamp, round(risk_score, 6) AS risk_score, CAST(round(CAST(risk_score AS DECIMAL(20,10)) * 100, 1) AS DOUBLE) AS risk_pct, "
         f"{tier('risk_score')} AS band FROM log ORDER BY timestamp")
+    q["log_round_trip"] = with_(LOG + ", twice AS (SELECT * FROM log UNION ALL SELECT * FROM log)") + (
+        f"SELECT count(*) AS total, round(coalesce(round(avg(risk_score), 4), {d(0.0)}), 6) AS mean_risk_score, "
+        "CAST(count_if(risk_level = 'high') AS BIGINT) AS high_count, "
+        "CAST(count_if(risk_level = 'medium') AS BIGINT) AS medium_count, "
+        "CAST(count_if(risk_level = 'low') AS BIGINT) AS low_count FROM twice")
     q["prediction_stats"] = with_(LOG) + (
         f"SELECT count(*) AS total, round(coalesce(round(avg(risk_score), 4), {d(0.0)}), 6) AS mean_risk_score, "
         "CAST(count_if(risk_level = 'high') AS BIGINT) AS high_count, "

@@ -6,54 +6,52 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+DEFAULTS = {
+    # results are the same with it; without it the wide conditional aggregations plan faster
+    "spark.sql.constraintPropagation.enabled": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "wardstat") -> SparkSession:
     """Session with the settings the library assumes (AQE on, UTC, no UI).
 
-    On a cluster `master` stays None and the launcher's settings win; the
-    defaults here only fill gaps.
+    Settings that the launcher or `spark-defaults.conf` has made win: the
+    defaults here are applied only where a setting is absent. A running
+    session is returned as it is.
     """
     b = SparkSession.builder.appName(app_name)
-    if master:
-        b = b.master(master)
-    b = (b.config("spark.sql.adaptive.enabled", "true")
-          .config("spark.sql.constraintPropagation.enabled", "false")
-          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-          .config("spark.sql.session.timeZone", "UTC")
-          .config("spark.ui.enabled", "false")
-          .config("spark.driver.memory", os.environ.get("WARDSTAT_DRIVER_MEMORY", "8g"))
-          .config("spark.ui.showConsoleProgress", "false")
-          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
-    if shuffle_partitions:
-        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if SparkSession.getActiveSession() is None:
+        given = SparkConf()  # system properties and defaults of the launcher
+        if master:
+            b = b.master(master)
+        memory = os.environ.get("WARDSTAT_DRIVER_MEMORY", "8g")
+        for k, v in {**DEFAULTS, "spark.driver.memory": memory}.items():
+            if not given.contains(k):
+                b = b.config(k, v)
+        if shuffle_partitions:
+            b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
 def apply_query_settings(spark: SparkSession) -> None:
-    """Settings the library's plans rely on, applied to an existing session:
-    AQE for runtime re-planning (broadcast conversion from measured sizes,
-    partition coalescing, skew splits) and a checkpoint folder.
-
-    Constraint propagation is turned off as a performance setting only:
-    results are identical with it on, but on the 24-column conditional
-    aggregations every optimizer pass -- repeated at each adaptive re-plan
-    -- spends noticeable time inferring IsNotNull filters that change
-    nothing here (sf0.1 bench in our runs: about 65 s off vs 76-94 s on).
-    """
-    for k, v in (("spark.sql.constraintPropagation.enabled", "false"),
-                 ("spark.sql.adaptive.enabled", "true"),
-                 ("spark.sql.adaptive.skewJoin.enabled", "true")):
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
+    """Check what the library's plans rely on, without touching the caller's
+    optimizer settings: a checkpoint folder."""
     ensure_checkpoint_dir(spark)
 
 
@@ -82,13 +80,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/wardstat/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a `file:` scheme so Python can look at a local path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through the Hadoop FileSystem of `path`, if it is there."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -98,9 +94,3 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(conf).exists(p))
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
