@@ -14,29 +14,34 @@ def row(fid, name, state, code, ratio, pred="10.0", exp="11.1", dis="200"):
     return tuple(d[c] for c in RAW_FIELDS)
 
 
+# One hospital for each case.
+LOW, HIGH, PARTIAL, EVEN, BLANK, RATES = "030114", "190260", "360078", "520009", "470533", "110845"
+LOW_RATIOS = ["0.81", "0.83", "0.85", "0.87", "0.89", "0.91"]
+
+
 def raw_rows():
     rows = []
-    # H0000: all 0.9 -> label 0
-    rows += [row("H0000", "Hospital 0", "AL", c, "0.9", "10.0", "11.1", "200") for c in CODES]
-    # H0001: all 1.1 -> label 1; discharges suppressed for one measure
-    rows += [row("H0001", "Hospital 1", "CA", c, "1.1", "12.0", "10.9",
-                 "Too Few to Report" if i == 0 else "150") for i, c in enumerate(CODES)]
-    # H0002: N/A for AMI and CABG, 0.95 for the rest -> n_valid 4, label 0
-    rows += [row("H0002", "Hospital 2", "TX", c, "N/A" if i < 2 else "0.95", "11.0", "11.5", "120")
+    # below 1.0 on every measure, mean 0.86 -> label 0
+    rows += [row(LOW, "Mesa Clinic", "AZ", c, x, "14.2", "16.5", "310") for c, x in zip(CODES, LOW_RATIOS)]
+    # above 1.0 on every measure -> label 1; discharges suppressed for one
+    rows += [row(HIGH, "Bayou General", "LA", c, "1.23", "17.3", "14.1",
+                 "Too Few to Report" if i == 0 else "88") for i, c in enumerate(CODES)]
+    # two of six ratios missing -> 4 valid measures, label 0
+    rows += [row(PARTIAL, "Lakeshore Hospital", "OH", c, "N/A" if i < 2 else "0.97", "15.5", "16.0", "61")
              for i, c in enumerate(CODES)]
     # unknown measure, dropped
-    rows.append(row("H0002", "Hospital 2", "TX", "READM-30-UNKNOWN-HRRP", "9.9"))
-    # H0003: duplicates of (hospital, measure): AMI 0.8 and 1.2 average to 1.0;
-    # all other measures exactly 1.0 -> mean exactly 1.0 -> label 0 (strict >)
-    rows.append(row("H0003", None, "ny", CODES[0], "0.8"))
-    rows.append(row("H0003", "Hospital 3", "ny", CODES[0], "1.2"))
-    rows += [row("H0003", "Hospital 3", "ny", c, "1.0") for c in CODES[1:]]
-    # H0004: all 24 values missing -> vanishes
-    rows += [row("H0004", "Hospital 4", "WA", c, "N/A", "N/A", "N/A", "Too Few to Report") for c in CODES]
-    # H0005: rates but no ratio -> in the wide table, dropped by the label step
-    rows += [row("H0005", "Hospital 5", None, c, "N/A", "13.0", "12.0", "90") for c in CODES]
+    rows.append(row(PARTIAL, "Lakeshore Hospital", "OH", "READM-30-UNKNOWN-HRRP", "7.7"))
+    # duplicates of (hospital, measure) average to 1.0, all others are 1.0:
+    # mean exactly 1.0 -> label 0 (strict >)
+    rows.append(row(EVEN, None, "wi", CODES[0], "0.7"))
+    rows.append(row(EVEN, "Dells Medical", "wi", CODES[0], "1.3"))
+    rows += [row(EVEN, "Dells Medical", "wi", c, "1.0") for c in CODES[1:]]
+    # all 24 values missing -> vanishes
+    rows += [row(BLANK, "Green Ridge", "VT", c, "N/A", "N/A", "N/A", "Too Few to Report") for c in CODES]
+    # rates but no ratio -> in the wide table, dropped by the label step
+    rows += [row(RATES, "Peach Valley", None, c, "N/A", "13.7", "12.9", "47") for c in CODES]
     # null facility id -> dropped
-    rows.append(row(None, "Nobody", "AL", CODES[0], "1.5"))
+    rows.append(row(None, "Nobody", "AZ", CODES[0], "1.5"))
     return rows
 
 

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tests.fixtures import EDGE_STRINGS, raw_rows
+from tests.fixtures import EDGE_STRINGS, EVEN, HIGH, LOW, PARTIAL, RATES, raw_rows
 from wardstat.operators import clean as C
 from wardstat.operators import features as FE
 from wardstat.operators import pivot as P
@@ -54,43 +54,43 @@ def test_clean_types_and_unknown_measure(raw):
 
 def test_pivot_one_row_per_hospital(wide):
     ids = [r[0] for r in wide.select("facility_id").collect()]
-    assert sorted(ids) == ["H0000", "H0001", "H0002", "H0003", "H0005"]  # H0004 all-missing, null id dropped
+    assert sorted(ids) == sorted([LOW, HIGH, PARTIAL, EVEN, RATES])  # all-missing and null id dropped
     assert wide.columns == ["facility_id", "facility_name", "state"] + WIDE_MEASURE_COLUMNS
 
 
 def test_duplicates_averaged_and_first_non_null_name(wide):
-    r = wide.filter("facility_id = 'H0003'").first()
+    r = wide.filter(F.col("facility_id") == EVEN).first()
     assert r["ami_excess_ratio"] == pytest.approx(1.0)
-    assert r["facility_name"] == "Hospital 3"
-    assert r["state"] == "ny"
+    assert r["facility_name"] == "Dells Medical"
+    assert r["state"] == "wi"
 
 
 def test_aggregates_exact(feats):
     rows = {r["facility_id"]: r for r in feats.collect()}
-    h0 = rows["H0000"]
-    assert h0["mean_excess_ratio"] == pytest.approx(0.9)
+    h0 = rows[LOW]
+    assert h0["mean_excess_ratio"] == pytest.approx(0.86)
     assert h0["n_valid_measures"] == 6 and h0["n_measures_over_threshold"] == 0
-    assert h0["total_discharges"] == pytest.approx(1200.0)
-    h1 = rows["H0001"]
+    assert h0["total_discharges"] == pytest.approx(1860.0)
+    h1 = rows[HIGH]
     assert h1["high_readmission_risk"] == 1 and h1["n_measures_over_threshold"] == 6
-    assert h1["total_discharges"] == pytest.approx(750.0)  # one suppressed
-    h2 = rows["H0002"]
+    assert h1["total_discharges"] == pytest.approx(440.0)  # one suppressed
+    h2 = rows[PARTIAL]
     assert h2["n_valid_measures"] == 4
-    assert h2["mean_excess_ratio"] == pytest.approx(0.95)
-    assert h2["max_excess_ratio"] == pytest.approx(0.95) and h2["min_excess_ratio"] == pytest.approx(0.95)
+    assert h2["mean_excess_ratio"] == pytest.approx(0.97)
+    assert h2["max_excess_ratio"] == pytest.approx(0.97) and h2["min_excess_ratio"] == pytest.approx(0.97)
     assert h2["high_readmission_risk"] == 0
-    h3 = rows["H0003"]  # mean exactly 1.0 -> not high risk
+    h3 = rows[EVEN]  # mean exactly 1.0 -> not high risk
     assert h3["mean_excess_ratio"] == pytest.approx(1.0)
     assert h3["high_readmission_risk"] == 0
-    assert "H0005" not in rows  # no ratio -> no label
+    assert RATES not in rows  # no ratio -> no label
     assert feats.columns == FEATURE_TABLE_COLUMNS
 
 
 def test_state_encoding_sorted_with_unknown(wide):
     enc = FE.encode_state(FE.add_aggregate_features(wide))
     codes = {r["facility_id"]: r["state_encoded"] for r in enc.collect()}
-    # sorted distinct: AL, CA, TX, Unknown, ny  (binary order; NULL -> Unknown)
-    assert codes == {"H0000": 0, "H0001": 1, "H0002": 2, "H0005": 3, "H0003": 4}
+    # sorted distinct: AZ, LA, OH, Unknown, wi  (binary order; NULL -> Unknown)
+    assert codes == {LOW: 0, HIGH: 1, PARTIAL: 2, RATES: 3, EVEN: 4}
 
 
 def test_serving_state_code(spark):
@@ -134,7 +134,7 @@ def test_validate_features_passes_and_fails(feats, spark):
 
 def test_completeness_and_balance(feats):
     comp = {r["column_name"]: r["pct_non_null"] for r in Q.completeness(feats, ["ami_excess_ratio", "hf_discharges"]).collect()}
-    assert comp["ami_excess_ratio"] == pytest.approx(75.0)  # H0002 has no AMI ratio
+    assert comp["ami_excess_ratio"] == pytest.approx(75.0)  # PARTIAL has no AMI ratio
     cb = Q.class_balance(feats).first()
     assert (cb["n"], cb["positives"], cb["negatives"]) == (4, 1, 3)
     cw = Q.class_weight(feats).first()
@@ -147,9 +147,9 @@ def test_build_features_plan(spark, raw, tmp):
     raw.write.parquet(f"{tmp}/raw")
     res = build_features(spark, f"{tmp}/raw", f"{tmp}/features")
     got = sorted(r["facility_id"] for r in res.features.collect())
-    assert got == ["H0000", "H0001", "H0002", "H0003"]
+    assert got == sorted([LOW, HIGH, PARTIAL, EVEN])
     assert res.rules.filter(~F.col("ok")).count() == 0
-    assert res.report.first()["n_hospitals"] == 6  # H0000..H0005; the null id is not counted
+    assert res.report.first()["n_hospitals"] == 6  # six ids; the null id is not counted
 
 
 def test_feature_table_types(feats):
