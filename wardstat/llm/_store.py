@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from wardstat.session import scratch_dir
@@ -16,3 +18,10 @@ def keep(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose result is written:
+    it does so when the driver collects the garbage that refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

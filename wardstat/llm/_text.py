@@ -207,3 +207,13 @@ def list_array(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the two columns an operator reads, under fixed names."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, z (compressed UTF-8), n_bytes: texts that are going to be shuffled."""
+    def run(batch, buf, off):
+        raw = buf.tobytes()
+        return {"doc_id": batch.column(0), "n_bytes": np.diff(off),
+                "z": [pa.compress(raw[a:b], "zstd", asbytes=True) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]}
+
+    return map_slices(docs, run, "doc_id long, n_bytes long, z binary")

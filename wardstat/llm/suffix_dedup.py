@@ -16,7 +16,9 @@ Round 2 (2h bytes). Extents equal as a whole are equal start by start: all
 but the earliest are removed without looking further. Where one prefix has
 several different extents, the earliest of each kind is opened: its starts
 are sorted by their pair of ranks at offset h, and all but the earliest of
-each pair are removed.
+each pair are removed. This sort runs within the partition of the prefix;
+a prefix with more than `HOT` kinds is spread over the cluster by the pairs
+of ranks instead.
 
 Ranks are 64-bit fingerprints of the bytes, so equal strings get equal ranks
 in any task; the final comparison uses 128 bits. Tables of extents travel by
@@ -31,18 +33,18 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstat.llm._store import keep
-from wardstat.llm._text import id_text, map_slices, mix64, powers, prefix_hash, span_hash
+from wardstat.llm._store import keep, release
+from wardstat.llm._text import id_text, map_slices, mix64, packed_texts, powers, prefix_hash, span_hash
 
 LENGTH = 100
 PIECE = 1 << 18           # bytes worked on at a time
+HOT = 2000                # kinds of extents of one rank that one task settles
+SETTLE = 50_000           # opened extents of a task
 PLACE = np.uint64(24)     # bits of a place within a piece
 
 
@@ -107,47 +109,92 @@ def extents(docs: DataFrame, length: int) -> DataFrame:
                       "doc_id long, lo long, n long, rank long, whole long", size=PIECE)
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, z (compressed UTF-8), n_bytes."""
-    def run(batch, buf, off):
-        raw = buf.tobytes()
-        return {"doc_id": batch.column(0), "n_bytes": np.diff(off),
-                "z": [pa.compress(raw[a:b], "zstd", asbytes=True) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]}
+def _open(lists: DataFrame, length: int) -> DataFrame:
+    """The bytes of opened extents (rank, doc_id, lo, bytes); of those whose
+    rank has more than HOT kinds, the single starts with their pair of ranks
+    (doc_id, lo, r1, r2) instead."""
+    h = length // 2
+
+    def run(batches):
+        for t in batches:
+            col = {c: t.column(t.schema.get_field_index(c)) for c in t.schema.names}
+            out = {c: [] for c in ("rank", "doc", "lo", "bytes", "r1", "r2")}
+            for r in range(t.num_rows):
+                raw = pa.decompress(col["z"][r].as_py(), col["n_bytes"][r].as_py(), "zstd", asbytes=True)
+                lo, n, rank, hot = (col[c][r].values.to_numpy(zero_copy_only=False) for c in ("lo", "n", "rank", "hot"))
+                ok = lo + n - 1 + length <= len(raw)
+                lo, n, rank, hot = lo[ok], n[ok], rank[ok], hot[ok].astype(bool)
+                for a, m in zip(lo[~hot].tolist(), n[~hot].tolist()):
+                    out["bytes"].append(raw[a:a + m - 1 + length])
+                s = np.zeros(0, np.int64)
+                if hot.any():
+                    k = n[hot]
+                    s = np.unique(np.repeat(lo[hot], k) + np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k))
+                    p = prefix_hash(np.frombuffer(raw, np.uint8))
+                    out["r1"] += [None] * int((~hot).sum()) + span_hash(p, s, s + h).view(np.int64).tolist()
+                    out["r2"] += [None] * int((~hot).sum()) + span_hash(p, s + h, s + length).view(np.int64).tolist()
+                else:
+                    out["r1"] += [None] * len(lo)
+                    out["r2"] += [None] * len(lo)
+                out["bytes"] += [None] * len(s)
+                out["rank"] += rank[~hot].tolist() + [None] * len(s)
+                out["lo"] += lo[~hot].tolist() + s.tolist()
+                out["doc"] += [r] * (int((~hot).sum()) + len(s))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out["rank"], pa.int64()), col["doc_id"].take(pa.array(out["doc"], pa.int64())),
+                 pa.array(out["lo"], pa.int64()), pa.array(out["bytes"], pa.binary()),
+                 pa.array(out["r1"], pa.int64()), pa.array(out["r2"], pa.int64())], ["rank", "doc_id", "lo", "bytes", "r1", "r2"])
 
-    return map_slices(docs, run, "doc_id long, n_bytes long, z binary")
+    return lists.mapInArrow(run, "rank long, doc_id long, lo long, bytes binary, r1 long, r2 long")
 
 
-def _open(extent_lists: DataFrame, length: int) -> DataFrame:
-    """(doc_id, start, r1, r2): the starts of opened extents with their pair of ranks."""
+def _settle(opened: DataFrame, length: int) -> DataFrame:
+    """(doc_id, lo, hi) of the starts that are not the earliest of their pair
+    of ranks. Equal strings have equal ranks in round 1, so all that can be
+    equal is in one partition, of about SETTLE extents."""
     h = length // 2
 
     def run(batches):
-        for t in batches:
-            z, size, lo, n = (t.column(t.schema.get_field_index(c)) for c in ("z", "n_bytes", "lo", "n"))
-            docs, starts, a1, a2 = [], [], [], []
-            for r in range(t.num_rows):
-                b = np.frombuffer(pa.decompress(z[r].as_py(), size[r].as_py(), "zstd", asbytes=True), np.uint8)
-                first, count = lo[r].values.to_numpy(), n[r].values.to_numpy()
-                s = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                s = np.unique(s[s + length <= len(b)])
-                p = prefix_hash(b)
-                a1.append(span_hash(p, s, s + h))
-                a2.append(span_hash(p, s + h, s + length))
-                docs.append(np.full(len(s), r))
-                starts.append(s)
-            if docs:
-                yield pa.RecordBatch.from_arrays(
-                    [t.column(t.schema.get_field_index("doc_id")).take(pa.array(np.concatenate(docs))),
-                     pa.array(np.concatenate(starts).astype(np.int64)),
-                     *(pa.array(np.concatenate(x).view(np.int64)) for x in (a1, a2))], ["doc_id", "start", "r1", "r2"])
-
-    return extent_lists.mapInArrow(run, "doc_id long, start long, r1 long, r2 long")
-
-
-def _release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of steps whose result is written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        t = pa.Table.from_batches(batches).combine_chunks()
+        raw = t.column("bytes").to_pylist()
+        size = np.array([len(b) for b in raw], np.int64)
+        buf = np.frombuffer(b"".join(raw), np.uint8)
+        begin = np.cumsum(size) - size
+        doc, lo = t.column("doc_id").to_numpy(), t.column("lo").to_numpy()
+        parts = []
+        step = 1 << 14
+        for a in range(0, len(raw), step):  # ranks of a bounded number of bytes at a time
+            b = min(a + step, len(raw))
+            k = size[a:b] - length + 1
+            of = np.repeat(np.arange(a, b), k)
+            within = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+            s = prefix_hash(buf[begin[a]:begin[b - 1] + size[b - 1]])
+            x = begin[of] - begin[a] + within
+            parts.append((span_hash(s, x, x + h), span_hash(s, x + h, x + length), doc[of], lo[of] + within))
+        r1, r2, d, p = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((p, d, r2, r1))
+        r1, r2, d, p = r1[order], r2[order], d[order], p[order]
+        # the first of each pair of ranks, and places equal to it, stay
+        first = np.ones(len(r1), bool)
+        first[1:] = (r1[1:] != r1[:-1]) | (r2[1:] != r2[:-1])
+        lead = np.flatnonzero(first)[np.cumsum(first) - 1]
+        later = (d != d[lead]) | (p != p[lead])
+        d, p = d[later], p[later]
+        order = np.lexsort((p, d))
+        d, p = d[order], p[order]
+        new = np.ones(len(d), bool)  # neighbouring starts make one range
+        new[1:] = (d[1:] != d[:-1]) | (p[1:] > p[:-1] + length)
+        at = np.flatnonzero(new)
+        end = np.append(at[1:], len(d)) - 1
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(d[at]), pa.array(p[at]), pa.array(p[end] + length)], ["doc_id", "lo", "hi"])
+
+    parts = max(1, -(-opened.count() // SETTLE))
+    return (opened.repartition(parts, "rank").select("doc_id", "lo", "bytes")
+            .mapInArrow(run, "doc_id long, lo long, hi long"))
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
@@ -158,7 +205,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, i
     # round 1: ranks of half the length; a rank found once leaves
     twice = rows.groupBy("rank").count().where("count > 1").select("rank")
     alive = keep(spark, rows.join(twice.hint("shuffle_hash"), "rank", "left_semi"), "extents")
-    _release(spark)
+    release(spark)
 
     # round 2: equal extents first, then the starts of different ones
     kinds = keep(spark, alive.groupBy("rank", "whole").agg(F.min(F.struct("doc_id", "lo")).alias("least"),
@@ -166,15 +213,18 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, i
     copies = (alive.join(kinds.where("k > 1").select("rank", "whole", "least"), ["rank", "whole"])
               .where(F.struct("doc_id", "lo") != F.col("least"))
               .select("doc_id", "lo", (F.col("lo") + F.col("n") - 1 + length).alias("hi")))
-    mixed = kinds.groupBy("rank").count().where("count > 1").select("rank")
-    opened = (kinds.join(mixed, "rank", "left_semi").select("least.doc_id", "least.lo", "n")
-              .groupBy("doc_id").agg(F.collect_list("lo").alias("lo"), F.collect_list("n").alias("n")))
-    starts = keep(spark, _open(opened.join(packed_texts(d.where(F.col("doc_id").isNotNull())), "doc_id"), length), "starts")
-    _release(spark)
-    earliest = (starts.groupBy("r1", "r2").agg(F.min(F.struct("doc_id", "start")).alias("least"), F.count("*").alias("k"))
+    mixed = (kinds.groupBy("rank").agg(F.count("*").alias("m")).where("m > 1")
+             .select("rank", (F.col("m") > HOT).alias("hot")))
+    lists = (kinds.join(mixed, "rank").select("rank", "hot", "least.doc_id", "least.lo", "n").groupBy("doc_id")
+             .agg(*[F.collect_list(c).alias(c) for c in ("lo", "n", "rank", "hot")]))
+    opened = keep(spark, _open(lists.join(packed_texts(d.where(F.col("doc_id").isNotNull())), "doc_id"), length), "opened")
+    release(spark)
+    starts = opened.where("bytes is null")
+    earliest = (starts.groupBy("r1", "r2").agg(F.min(F.struct("doc_id", "lo")).alias("least"), F.count("*").alias("k"))
                 .where("k > 1").select("r1", "r2", "least"))
-    later = (starts.join(earliest, ["r1", "r2"]).where(F.struct("doc_id", "start") != F.col("least"))
-             .select("doc_id", F.col("start").alias("lo"), (F.col("start") + length).alias("hi")))
+    later = (starts.join(earliest, ["r1", "r2"]).where(F.struct("doc_id", "lo") != F.col("least"))
+             .select("doc_id", "lo", (F.col("lo") + length).alias("hi")))
+    later = later.unionAll(_settle(opened.where("bytes is not null"), length))
     return copies.unionAll(later)
 
 
@@ -217,5 +267,5 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
 def dedup_substrings(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Find the repeated strings of all of `docs` and take them out."""
     spans = keep(spark, repeated_spans(spark, docs, length), "spans")
-    _release(spark)
+    release(spark)
     return remove_spans(docs, spans)
