@@ -210,9 +210,12 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, i
     # round 2: equal extents first, then the starts of different ones
     kinds = keep(spark, alive.groupBy("rank", "whole").agg(F.min(F.struct("doc_id", "lo")).alias("least"),
                                                            F.first("n").alias("n"), F.count("*").alias("k")), "kinds")
+    release(spark)
     copies = (alive.join(kinds.where("k > 1").select("rank", "whole", "least"), ["rank", "whole"])
               .where(F.struct("doc_id", "lo") != F.col("least"))
               .select("doc_id", "lo", (F.col("lo") + F.col("n") - 1 + length).alias("hi")))
+    copies = keep(spark, copies, "copies")
+    release(spark)
     mixed = (kinds.groupBy("rank").agg(F.count("*").alias("m")).where("m > 1")
              .select("rank", (F.col("m") > HOT).alias("hot")))
     lists = (kinds.join(mixed, "rank").select("rank", "hot", "least.doc_id", "least.lo", "n").groupBy("doc_id")
