@@ -226,7 +226,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int = 5, percent: i
     stars = members.where("doc_id <> leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
     likely = _likely(stars.join(sigs.select(F.col("doc_id").alias("a"), F.col("sig").alias("x")), "a")
                      .join(sigs.select(F.col("doc_id").alias("b"), F.col("sig").alias("y")), "b"), bar)
-    ids = members.select("doc_id").distinct()
+    # the ids are hashed, so that the texts need no sort, at any size
+    ids = members.select("doc_id").distinct().hint("shuffle_hash")
     sets = keep(spark, shingle_sets(d.join(ids, "doc_id", "left_semi"), n), "sets")
     links = keep(spark, _confirmed(likely, sets, percent), "links")
 
@@ -235,6 +236,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int = 5, percent: i
     named = (members.join(label, "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id"))
              .join(label.select(F.col("doc_id").alias("leader"), F.col("component").alias("lc")), "leader", "left")
              .withColumn("apart", F.col("c") != F.coalesce("lc", "leader")))
+    # every member has met its leader; a band of two holds no other pair
+    named = named.where("n > 2 and doc_id <> leader")
     named = keep(spark, named.select("key", "band", "n", "doc_id", "c", "apart"), "named")
     links2 = keep(spark, _meet_apart(named, sigs, sets, bar, percent, rows), "links")
 
