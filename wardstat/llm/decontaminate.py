@@ -11,8 +11,8 @@
 4. Every half-overlapping passage of every text is compared by cosine with
    the benchmark queries (in blocks of `BLOCK` queries); passages above
    `COSINE` that share `SHARED` of the words are candidates.
-5. A candidate is a leak if the longest common subsequence of the item and
-   the passage with its surroundings covers `VERBATIM` of the item, or if it
+5. A candidate is a leak if the longest common subsequence of the item and a
+   stretch of 1.5 times its length around the passage covers `VERBATIM` of the item, or if it
    covers `PARAPHRASE` and the item's answer covers `ANSWER` of its words.
    The answer is the column `answer` if the benchmark has one, else the
    item's last quarter.
@@ -41,6 +41,8 @@ BLOCK = 2048
 COSINE, SHARED = 0.2, 0.5
 VERBATIM, PARAPHRASE, ANSWER = 0.9, 0.7, 0.5
 STEP = 1 << 12            # passages compared with a block of queries at a time
+TASK_BYTES = 32 << 20     # word ids that a task adds up
+FAN = 64                  # partial sums that meet in one group
 BLOCKS = 64               # row blocks in which partial sums travel
 
 _PUNCT = np.zeros(256, bool)
@@ -94,15 +96,28 @@ def _parts(batches, size: int, words: int = 1 << 16):
                 lo, n = i + 1, 0
 
 
-def _add_up(parts: DataFrame) -> DataFrame:
-    """Sum float64 vectors by block in two levels (no group grows with the input)."""
+def _add_up(parts: DataFrame, tasks: int) -> DataFrame:
+    """Sum the float32 vectors of all tasks by block, FAN of them at a time,
+    so that no group grows with the input."""
     def add(key, pdf):
-        total = sum(np.frombuffer(b, np.float64) for b in pdf["v"])
-        return pd.DataFrame({"block": [key[0]], "salt": [0], "v": [np.asarray(total).tobytes()]})
+        total = np.zeros(len(pdf["v"].iloc[0]) // 4)
+        for b in pdf["v"]:
+            total += np.frombuffer(b, np.float32)
+        return pd.DataFrame({"block": [key[0]], "salt": [key[1]], "v": [total.astype(np.float32).tobytes()]})
 
-    schema = "block int, salt int, v binary"
-    return (parts.groupBy("block", "salt").applyInPandas(add, schema)
-            .groupBy("block").applyInPandas(add, schema).select("block", "v"))
+    while tasks > 1:
+        parts = (parts.withColumn("salt", F.floor(F.col("salt") / FAN).cast("int")).groupBy("block", "salt")
+                 .applyInPandas(add, "block int, salt int, v binary"))
+        tasks = -(-tasks // FAN)
+    return parts.select("block", "v")
+
+
+def _few(table: DataFrame) -> tuple[DataFrame, int]:
+    """The ids in tasks of about TASK_BYTES: what a task adds up has a fixed
+    size, so small tasks would send more than they read."""
+    size = table.agg(F.sum(F.length("ids"))).first()[0] or 0
+    tasks = max(1, -(-size // TASK_BYTES))
+    return table.select("ids").coalesce(tasks), tasks
 
 
 def _sums(table: DataFrame, step, width: int) -> np.ndarray:
@@ -112,17 +127,18 @@ def _sums(table: DataFrame, step, width: int) -> np.ndarray:
         acc = np.zeros((IDS, width), np.float64 if width == 1 else np.float32)
         for _, _, _, m, mask, _ in _parts(batches, 2 * HALF):
             step(acc, m, mask)
-        salt = TaskContext.get().partitionId() % 64
+        salt = TaskContext.get().partitionId()
         rows = IDS // BLOCKS
         for b in range(BLOCKS):
-            v = acc[b * rows:(b + 1) * rows].astype(np.float64)
+            v = acc[b * rows:(b + 1) * rows].astype(np.float32)
             if v.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b], pa.int32()), pa.array([salt], pa.int32()), pa.array([v.tobytes()])], ["block", "salt", "v"])
 
+    few, tasks = _few(table)
     out = np.zeros((BLOCKS, IDS // BLOCKS * width))
-    for r in _add_up(table.select("ids").mapInArrow(run, "block int, salt int, v binary")).toLocalIterator():
-        out[r["block"]] = np.frombuffer(r["v"], np.float64)
+    for r in _add_up(few.mapInArrow(run, "block int, salt int, v binary"), tasks).toLocalIterator():
+        out[r["block"]] = np.frombuffer(r["v"], np.float32)  # BLOCKS rows, a fixed size
     return out.reshape(IDS, width)
 
 
@@ -161,15 +177,17 @@ def latent_space(table: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int
     w1 = sc.broadcast(words)
 
     def gram(batches):
+        from pyspark import TaskContext
         g = np.zeros((rank, rank))
         for _, _, _, m, mask, _ in _parts(batches, 2 * HALF):
             y = _embed(m, mask, w1.value)
             g += y.T @ y
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([np.random.default_rng().integers(64)], pa.int32()),
-                                          pa.array([g.tobytes()])], ["block", "salt", "v"])
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([TaskContext.get().partitionId()], pa.int32()),
+                                          pa.array([g.astype(np.float32).tobytes()])], ["block", "salt", "v"])
 
-    got = _add_up(table.select("ids").mapInArrow(gram, "block int, salt int, v binary")).collect()  # one row
-    g = np.frombuffer(got[0]["v"], np.float64).reshape(rank, rank) if got else np.eye(rank)
+    few, tasks = _few(table)
+    got = _add_up(few.mapInArrow(gram, "block int, salt int, v binary"), tasks).collect()  # one row
+    g = np.frombuffer(got[0]["v"], np.float32).reshape(rank, rank).astype(np.float64) if got else np.eye(rank)
     value, vector = np.linalg.eigh(g)
     value, vector = value[::-1], vector[:, ::-1]
     sigma = np.sqrt(np.maximum(value, 1e-9 * max(value[0], 1e-9)))
@@ -227,12 +245,19 @@ class Items:
             self.member[self.holds[p], q] = True
 
     def verdict(self, i: int, region: list[int]) -> tuple[float, float] | None:
-        w = self.words[i]
-        full = lcs(w, region) / len(w)
-        answer = lcs(self.answers[i], region) / len(self.answers[i])
-        if full >= VERBATIM or (full >= PARAPHRASE and answer >= ANSWER):
-            return full, answer
-        return None
+        """The best (lcs, answer) of half as long again as the item anywhere in
+        the region, if it makes a leak: a longer stretch would hold much of a
+        short item by chance."""
+        w, best = self.words[i], None
+        size = len(w) + len(w) // 2 + 2
+        for a in range(0, max(1, len(region) - size + 1 + len(w) // 4), max(1, len(w) // 4)):
+            part = region[a:a + size]
+            full = lcs(w, part) / len(w)
+            if full >= PARAPHRASE:
+                answer = lcs(self.answers[i], part) / len(self.answers[i])
+                if (full >= VERBATIM or answer >= ANSWER) and (best is None or (full, answer) > best):
+                    best = full, answer
+        return best
 
 
 def _search(table: DataFrame, words: np.ndarray, items: Items) -> DataFrame:
@@ -243,7 +268,6 @@ def _search(table: DataFrame, words: np.ndarray, items: Items) -> DataFrame:
     def run(batches):
         it, vec = held.value, space.value
         queries = _unit(np.stack([vec[p].sum(axis=0) for p in it.parts])).T.astype(np.float32)
-        longest = max(len(w) for w in it.words)
         for t, lo, ids, m, mask, row in _parts(batches, HALF):
             if not len(m):
                 continue
@@ -282,7 +306,7 @@ def _search(table: DataFrame, words: np.ndarray, items: Items) -> DataFrame:
                 r = int(row[p])
                 text = np.frombuffer(ids[lo + r], np.uint16)
                 at = (p - int(first[p])) * HALF
-                reach = longest + 2 * HALF
+                reach = 2 * len(it.words[i])
                 a, b = max(0, at - reach), min(len(text), at + 2 * HALF + reach)
                 if (r, i, a) in done:
                     continue
