@@ -63,6 +63,16 @@ def test_near_duplicates_against_brute_force(spark):
     assert 1 < len(set(comp)) < len(texts)
 
 
+def test_pair_meets_where_an_earlier_band_agrees_by_its_bytes_only(spark):
+    """Two members share band 1; the bytes of band 0 are equal, its keys are not."""
+    named = spark.createDataFrame([(7, 1, 3, i, i, True) for i in (1, 2)],
+                                  "key long, band int, n long, doc_id long, c long, apart boolean")
+    reps = spark.createDataFrame([(1, bytearray(8), [5, 7]), (2, bytearray(8), [6, 7])], "doc_id long, sig binary, bands array<long>")
+    sets = spark.createDataFrame([(i, list(range(10))) for i in (1, 2)], "doc_id long, shingles array<long>")
+    got = near_dedup._meet_apart(named, reps, sets, 4, 80).collect()
+    assert [(r["a"], r["b"]) for r in got] == [(2, 1)]
+
+
 # --- op10 ------------------------------------------------------------------
 
 def test_cuckoo_filter():

@@ -135,12 +135,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(F.lit(100) * F.col("i") >= F.lit(percent) * F.col("o")).select("a", "b").distinct())
 
 
-def _meet_apart(named: DataFrame, sigs: DataFrame, sets: DataFrame, bar: int, percent: int,
-                rows: int) -> DataFrame:
+def _meet_apart(named: DataFrame, sigs: DataFrame, sets: DataFrame, bar: int, percent: int) -> DataFrame:
     """Links between members that are apart from their band's leader and the
     rest of the band, compared in blocks of at most about BAND_BLOCK members
-    by BAND_BLOCK apart ones. A pair is compared in the first band it shares;
-    a pair that a link found in the same block already joins is passed over.
+    by BAND_BLOCK apart ones. A pair is compared in the first band whose key
+    it shares; a pair that a link found in the same block already joins is passed over.
     Only links leave a task.
     """
     n_apart = named.groupBy("key").agg(F.sum(F.col("apart").cast("int")).alias("k")).where("k > 0")
@@ -152,12 +151,12 @@ def _meet_apart(named: DataFrame, sigs: DataFrame, sets: DataFrame, bar: int, pe
     x = full.where("apart").withColumn("x", at("nx")).withColumn("y", F.explode(every("ny"))).withColumn("asks", F.lit(True))
     cols = ["key", "x", "y", "band", "doc_id", "c", "apart", "asks"]
     both = (x.select(cols).unionAll(y.select(cols)).join(sigs, "doc_id").join(sets, "doc_id")
-            .select(*cols, "sig", "shingles"))
+            .select(*cols, "sig", "bands", "shingles"))
 
     def meet(pdf):
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
         band = int(pdf["band"].iloc[0])
-        bands = sig.reshape(len(pdf), -1, rows)
+        bands = np.stack(pdf["bands"].to_list())
         asks = pdf["asks"].to_numpy(bool)
         doc, c = pdf["doc_id"].to_numpy(np.int64), pdf["c"].to_numpy(np.int64).copy()
         other = np.flatnonzero(~asks)
@@ -175,7 +174,7 @@ def _meet_apart(named: DataFrame, sigs: DataFrame, sets: DataFrame, bar: int, pe
             hit = other[ok]
             if not len(hit):
                 continue
-            first = (bands[hit] == bands[i]).all(axis=2).argmax(axis=1)
+            first = (bands[hit] == bands[i]).argmax(axis=1)
             hit, match = hit[first == band], same.sum(axis=1)[ok][first == band]
             for j in hit[np.argsort(-match, kind="stable")].tolist():
                 if c[j] == c[i]:
@@ -239,7 +238,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int = 5, percent: i
     # every member has met its leader; a band of two holds no other pair
     named = named.where("n > 2 and doc_id <> leader")
     named = keep(spark, named.select("key", "band", "n", "doc_id", "c", "apart"), "named")
-    links2 = keep(spark, _meet_apart(named, sigs, sets, bar, percent, rows), "links")
+    links2 = keep(spark, _meet_apart(named, reps, sets, bar, percent), "links")
 
     final = components(spark, links.unionAll(links2).unionAll(copies))
     return (sig.select("doc_id", "n_shingles").join(final.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left")
