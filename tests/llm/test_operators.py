@@ -236,6 +236,21 @@ def test_leaks_verbatim_and_paraphrased(spark):
     assert len(want & got) >= 0.9 * len(want) and not {x for x in got if x[0] % 10 == 2}
 
 
+@pytest.mark.parametrize("words", (12, 33, 64, 100))
+def test_spread_paraphrases_become_candidates(words):
+    """An accepted stretch, its words spread evenly, shares enough with some passage at any offset."""
+    item = np.arange(1, words + 1, dtype=np.uint16)
+    it = decontaminate.Items([1], [item], [None])
+    size, kept = words + words // 2 + 2, -(-7 * words // 10)
+    stretch = np.full(size, 60000)
+    stretch[np.linspace(0, size - 1, kept).astype(int)] = item[np.linspace(0, words - 1, kept).astype(int)]
+    assert decontaminate.lcs(item.tolist(), stretch.tolist()) >= 0.7 * words
+    for offset in range(32):
+        text = np.concatenate([np.full(64 + offset, 60000), stretch, np.full(64, 60000)])
+        held = [set(text[a:a + 32].tolist()) for a in range(0, len(text), 16)]
+        assert any(len(h & set(p.tolist())) >= n for h in held for p, n in zip(it.parts, it.need))
+
+
 def test_lcs():
     rng = random.Random(1)
     for _ in range(50):

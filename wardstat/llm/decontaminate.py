@@ -10,7 +10,7 @@
    right singular vectors and whitened coordinates.
 4. Every half-overlapping passage of every text is compared by cosine with
    the benchmark queries (in blocks of `BLOCK` queries); passages above
-   `COSINE` that share `SHARED` of the words are candidates.
+   `COSINE` that share as many words as a leak must (`need`) are candidates.
 5. A candidate is a leak if the longest common subsequence of the item and a
    stretch of 1.5 times its length around the passage covers `VERBATIM` of the item, or if it
    covers `PARAPHRASE` and the item's answer covers `ANSWER` of its words.
@@ -220,6 +220,20 @@ def lcs(a: list[int], b: list[int]) -> int:
     return len(a) - bin(v).count("1")
 
 
+def need(part: np.ndarray, words: int, parts: int) -> int:
+    """Distinct words of a query that some passage holds wherever the verdict
+    accepts a stretch: PARAPHRASE of the item's words over the passages that
+    cover the stretch and the item's `parts` queries, less repeats. Never more
+    than `SHARED` of them."""
+    size = words + words // 2 + 2
+    # a passage starts at most HALF - 1 words before the stretch; each further one or part adds a piece
+    pieces = -(-(size + HALF - 1) // (2 * HALF)) + parts - 1
+    left = -(-int(np.ceil(PARAPHRASE * words - 1e-9)) // pieces)
+    count = np.sort(np.unique(part, return_counts=True)[1])[::-1]
+    distinct = int(np.searchsorted(np.cumsum(count), left)) + 1
+    return max(1, min(distinct, int(np.ceil(SHARED * min(len(count), 2 * HALF)))))
+
+
 class Items:
     """Benchmark items of one block: ids of words, queries, answers."""
 
@@ -235,8 +249,9 @@ class Items:
                 parts.append(p)
         self.query_item = np.array(self.query_item)
         self.parts = parts
-        #: share of a passage's words that counts as enough, by query
-        self.need = np.array([max(1, int(np.ceil(SHARED * min(len(set(p.tolist())), 2 * HALF)))) for p in parts])
+        #: words that a passage must share, by query
+        self.need = np.array([need(p, len(words[i]), int(n)) for p, i, n in
+                              zip(parts, self.query_item, np.bincount(self.query_item, minlength=1)[self.query_item])])
         self.holds = np.zeros((IDS,), np.int32)  # id -> dense row of `member`, 0: in no query
         used = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
         self.holds[used] = np.arange(1, len(used) + 1)
