@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstat.llm.decontaminate import find_leaks
+from wardstat.llm.hard_negatives import clean, hard_negatives
 from wardstat.llm.language_id import identify
 from wardstat.llm.license_scan import SHINGLE, TEMPLATES, scan, size_class, template_words
 from wardstat.llm.line_dedup import dedup_lines
@@ -15,9 +16,11 @@ from wardstat.llm.near_dedup import near_duplicates
 from wardstat.llm.packing import pack
 from wardstat.llm.passage_dedup import near_passages
 from wardstat.llm.quality_rules import quality
+from wardstat.llm.spelling_variants import spelling_variants
 from wardstat.llm.suffix_dedup import dedup_substrings
-from wardstat.session import ensure_checkpoint_dir
+from wardstat.llm.token_counts import token_counts
 from wardstat.llm.toxicity import toxicity
+from wardstat.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -203,3 +206,69 @@ FROM c WHERE 100 * n_shared >= 80 * n_template GROUP BY doc_id, template
 def op1_substring_dedup(spark, sf_dir):
     """Documents that share near-duplicate passages of 50 words or more."""
     return near_passages(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negative_mining(spark, sf_dir):
+    """Hard negatives of all vectors whose id is divisible by 100, against all vectors."""
+    label = F.col("label").cast("long")
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    rows = clean(vectors)
+    return hard_negatives(spark, rows, rows.where("id % 100 = 0"))
+
+
+ORACLE_SQL["op11_hard_negative_mining"] = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+      FROM r a JOIN r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+@query
+def op12_token_counts(spark, sf_dir):
+    """Tokens of every whole text for the 32k piece model."""
+    import public_tokenizers
+    return token_counts(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    """Words of all documents with the frequent words that they are variants of."""
+    return spelling_variants(spark, table(spark, sf_dir, "documents"))
+
+
+#: crc32 byte by byte; its table is made by the rule of the reversed polynomial
+ORACLE_SQL["op13_spelling_variants"] = r"""
+WITH RECURSIVE t AS (SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS c
+    FROM (SELECT unnest(range(256)) AS i))),
+o AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+c AS (SELECT doc_id, w, count(*) AS n FROM o GROUP BY ALL),
+x AS (SELECT w, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w)) AS b FROM c),
+h AS (SELECT w, n, xor(list_reduce(range(len(b) // 2), lambda c, k:
+        xor(c // 256, t[xor(c % 256, CAST('0x' || b[2 * k + 1:2 * k + 2] AS BIGINT)) + 1]), 4294967295), 4294967295) AS h FROM x, t),
+r AS (SELECT CASE WHEN h % 31 = 0 THEN left(w, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word, n FROM h),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM r WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+d AS (SELECT DISTINCT word, left(word, i) || substr(word, i + 2) AS cut FROM (SELECT word, unnest(range(length(word))) AS i FROM v)),
+k AS (SELECT word, word AS cut FROM v UNION ALL SELECT word, cut FROM d),
+e AS (SELECT DISTINCT a.word, b.word AS near FROM k a JOIN k b ON a.cut = b.cut AND a.word <> b.word
+      WHERE abs(length(a.word) - length(b.word)) = 1 OR length(a.word) = length(b.word) AND
+        list_sum(list_transform(range(1, length(a.word) + 1), lambda i: CAST(a.word[i] <> b.word[i] AS INT))) = 1),
+g AS (SELECT e.word, near, v.n AS near_n, count(*) OVER (PARTITION BY e.word) AS n_near FROM e JOIN v ON v.word = near
+      QUALIFY row_number() OVER (PARTITION BY e.word ORDER BY v.n DESC, encode(near)) = 1),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * v.n THEN near END AS form,
+        CASE WHEN near_n >= 10 * v.n THEN near_n END AS form_n FROM v LEFT JOIN g USING (word)),
+z AS (SELECT word, word AS at, 0 AS step FROM f UNION ALL SELECT z.word, f.form, step + 1 FROM z JOIN f ON f.word = z.at WHERE f.form IS NOT NULL)
+SELECT f.word, form, arg_max(z.at, step) AS root, n, n_near, form_n FROM f JOIN z ON z.word = f.word GROUP BY f.word, form, n, n_near, form_n
+"""
