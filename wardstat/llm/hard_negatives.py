@@ -170,29 +170,49 @@ def sweep(forest: Forest, x: np.ndarray, wanted):
 
 
 class Best:
-    """The best `k` (score, id) of every slot, ties by the smaller id."""
+    """The best `k` different (score, id) of every slot, ties by the smaller id."""
+
+    LOW, HIGH = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
     def __init__(self, slots: int, k: int):
         self.k = k
-        self.slot, self.score, self.id = (np.zeros(0, np.int64) for _ in range(3))
-        self.least = np.full(slots, np.iinfo(np.int64).min)  # k-th best score, once there are k
-
-    def add(self, slot: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        good = score >= self.least[slot]
-        if not good.any():
+        self.score = np.full((slots, k), self.LOW)  # best first
+        self.id = np.full((slots, k), self.HIGH)
+
+    @property
+    def least(self) -> np.ndarray:
+        """The k-th best score of every slot; the smallest number until there are k."""
+        return self.score[:, -1]
+
+    def add(self, slots: np.ndarray, score: np.ndarray, mask: np.ndarray, ids: np.ndarray, distinct: bool) -> None:
+        """Rows `ids` with a (slots x rows) matrix of scores, where the mask is
+        set; `distinct` says that no id repeats."""
+        mask = mask & (score >= self.least[slots, None])
+        busy = mask.any(axis=1)
+        if not busy.any():
             return
-        slot, score, ids = (np.concatenate([a, b[good]]) for a, b in
-                            ((self.slot, slot), (self.score, score), (self.id, ids)))
-        order = np.lexsort((ids, -score, slot))
-        slot, score, ids = slot[order], score[order], ids[order]
-        new = np.ones(len(slot), bool)
-        new[1:] = (slot[1:] != slot[:-1]) | (score[1:] != score[:-1]) | (ids[1:] != ids[:-1])
-        slot, score, ids = slot[new], score[new], ids[new]
-        rank = np.arange(len(slot)) - np.searchsorted(slot, slot)
+        slots, score, mask = slots[busy], score[busy], mask[busy]
+        if distinct and score.shape[1] > self.k:
+            top = np.partition(np.where(mask, score, self.LOW), -self.k, axis=1)[:, -self.k]
+            mask &= score >= top[:, None]
+        i, j = np.nonzero(mask)
+        at = np.concatenate([i, np.repeat(np.arange(len(slots)), self.k)])
+        score = np.concatenate([score[i, j], self.score[slots].ravel()])
+        ids = np.concatenate([ids[j], self.id[slots].ravel()])
+        order = np.lexsort((ids, ~score, at))
+        at, score, ids = at[order], score[order], ids[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1]) | (score[1:] != score[:-1]) | (ids[1:] != ids[:-1])
+        at, score, ids = at[new], score[new], ids[new]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
         top = rank < self.k
-        self.slot, self.score, self.id = slot[top], score[top], ids[top]
-        full = rank == self.k - 1
-        self.least[slot[full]] = score[full]
+        self.score[slots], self.id[slots] = self.LOW, self.HIGH
+        self.score[slots[at[top]], rank[top]] = score[top]
+        self.id[slots[at[top]], rank[top]] = ids[top]
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        slot, k = np.nonzero(self.id != self.HIGH)
+        return slot, self.score[slot, k], self.id[slot, k]
 
 
 def _blocks(batches, anchors: int):
@@ -200,7 +220,8 @@ def _blocks(batches, anchors: int):
     for b in batches:
         for i in range(0, b.num_rows, size):
             c = b.slice(i, size)
-            yield np.asarray(c.column("id")), np.asarray(c.column("label")), _matrix(c.column("v"))
+            ids = np.asarray(c.column("id"))
+            yield ids, np.asarray(c.column("label")), _matrix(c.column("v")), len(np.unique(ids)) == len(ids)
 
 
 def _positives(rows: DataFrame, forest, k: int) -> DataFrame:
@@ -208,16 +229,14 @@ def _positives(rows: DataFrame, forest, k: int) -> DataFrame:
     def run(batches):
         f = forest.value
         best = Best(len(f.no), k)
-        for ids, label, x in _blocks(batches, len(f.no)):
+        for ids, label, x, distinct in _blocks(batches, len(f.no)):
             def wanted(at, low, high):
                 same = f.label[at, None] == label[None, :]
                 return same & (f.id[at, None] != ids[None, :]) & (high >= best.least[at, None])
             for at, mask, s in sweep(f, x, wanted):
-                i, j = np.nonzero(mask)
-                best.add(at[i], s[i, j], ids[j])
-        if len(best.slot):
-            yield pa.RecordBatch.from_arrays([pa.array(f.no[best.slot]), pa.array(best.id), pa.array(best.score)],
-                                             ["no", "positive_id", "positive_score"])
+                best.add(at, s, mask, ids, distinct)
+        slot, score, ids = best.found()
+        yield pa.RecordBatch.from_arrays([pa.array(f.no[slot]), pa.array(ids), pa.array(score)], ["no", "positive_id", "positive_score"])
 
     return rows.mapInArrow(run, "no long, positive_id long, positive_score long")
 
@@ -242,7 +261,7 @@ def _negatives(rows: DataFrame, forest, slots, k: int, low: int, high: int) -> D
         slot_of = np.where(first[:-1, None] + np.arange(width) < first[1:, None], first[:-1, None] + np.arange(width), len(anchor))
         end = np.iinfo(np.int64)
         wlo, whi = (np.append(w, x) for w, x in zip(window_of(score, low, high), (end.max, end.min)))
-        for ids, label, x in _blocks(batches, len(f.no)):
+        for ids, label, x, distinct in _blocks(batches, len(f.no)):
             def wanted(at, low, high):
                 floor = np.maximum(wlo, np.append(best.least, end.max))[slot_of[at]]
                 top = whi[slot_of[at]]
@@ -251,16 +270,14 @@ def _negatives(rows: DataFrame, forest, slots, k: int, low: int, high: int) -> D
                     out |= (high >= floor[:, j, None]) & (low <= top[:, j, None])
                 return out & (f.label[at, None] != label[None, :])
             for at, mask, s in sweep(f, x, wanted):
-                i, j = np.nonzero(mask)
-                got = s[i, j]
                 for p in range(width):
-                    t = slot_of[at[i], p]
-                    inside = (got >= wlo[t]) & (got <= whi[t])
-                    best.add(t[inside], got[inside], ids[j[inside]])
-        if len(best.slot):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(f.no[anchor[best.slot]]), pa.array(best.slot), pa.array(best.id), pa.array(best.score)],
-                ["no", "slot", "negative_id", "negative_score"])
+                    t = slot_of[at, p]
+                    real = t < len(anchor)
+                    t, sp = t[real], s[real]
+                    best.add(t, sp, mask[real] & (sp >= wlo[t, None]) & (sp <= whi[t, None]), ids, distinct)
+        slot, score, ids = best.found()
+        yield pa.RecordBatch.from_arrays([pa.array(f.no[anchor[slot]]), pa.array(slot), pa.array(ids), pa.array(score)],
+                                         ["no", "slot", "negative_id", "negative_score"])
 
     return rows.mapInArrow(run, "no long, slot long, negative_id long, negative_score long")
 
