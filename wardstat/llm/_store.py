@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from wardstat.session import scratch_dir
 
 
-def keep(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def keep(spark: SparkSession, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write `df` as Parquet below the shared checkpoint folder and read it back.
 
     Cuts the lineage at a file that every executor sees; columnar and
     compressed, and each reader prunes to the columns it needs.
     """
     path = scratch_dir(spark, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,9 +8,11 @@ pre-token, and the text's count is the sum of its pre-tokens' counts.
 1. Texts are taken in chunks of about `CHUNK` bytes. A chunk becomes one row
    for each of its distinct pre-tokens and one row with its sparse matrix of
    (pre-token, document, frequency); both are written once.
-2. Pieces are counted once per distinct pre-token of the whole corpus.
-3. The counts are joined to the chunks' pre-tokens (one row a chunk, however
-   often a pre-token stands in it) and meet the chunk's matrix, which gives
+2. The chunks' pre-tokens are dealt and sorted by pre-token, so that pieces
+   are counted once per distinct pre-token of the whole corpus as its rows
+   pass by. One pre-token has one row a chunk at most, however often it
+   stands there: that bounds the rows of a frequent one.
+3. The counts go back to their chunks and meet the matrix there, which gives
    the sum of every document. No ids of a text are made.
 
 Defined results: a null or empty text has no bytes and no tokens; rows that
@@ -33,7 +35,8 @@ from pyspark.sql import functions as F
 from wardstat.llm._store import keep
 from wardstat.llm._text import buffer_of, id_text, slices
 
-CHUNK = 4 << 20
+CHUNK = 8 << 20
+PACK = 1 << 20            # counts that a task gathers before it sends them to their chunks
 SPACE = "▁"
 LIMIT = 4096
 _PROBE = "A  ﬁ é　  x\tÅ "
@@ -103,56 +106,91 @@ def _unplanes(z: bytes, *lengths: int) -> list[np.ndarray]:
     return out
 
 
-_CHUNKS = "chunk long, token string, at int, ids array<long>, n_bytes array<long>, n_entries long, matrix binary"
+_CHUNKS = "token string, place long, chunk long, ids array<long>, n_bytes array<long>, n_entries long, matrix binary"
+#: a place is 20 bits of partition, 15 of chunk within it, 28 of pre-token
+#: within that: a text, which Spark holds to 2^31 bytes, has fewer of them
+_CHUNK, _AT = 15, 28
 
 
 def chunks(docs: DataFrame, path: str, size: int = CHUNK) -> DataFrame:
-    """Rows (chunk, token, at) of distinct pre-tokens, and one row with the
-    documents and the matrix of every chunk (its token is null)."""
-    schema = pa.schema([("chunk", pa.int64()), ("token", pa.string()), ("at", pa.int32()), ("ids", pa.list_(pa.int64())),
+    """Rows (token, place) of distinct pre-tokens, and one row with the
+    documents and the matrix of every chunk (its token is null). The place is
+    the chunk and the number of the pre-token in it."""
+    schema = pa.schema([("token", pa.string()), ("place", pa.int64()), ("chunk", pa.int64()), ("ids", pa.list_(pa.int64())),
                         ("n_bytes", pa.list_(pa.int64())), ("n_entries", pa.int64()), ("matrix", pa.binary())])
 
     def run(batches):
         from pyspark import TaskContext
-        chunk = TaskContext.get().partitionId() << 32
+        part = TaskContext.get().partitionId()
+        if part >> 63 - _CHUNK - _AT:
+            raise ValueError("more partitions than a place can name; read the table in larger ones")
+        chunk = part << _CHUNK
         for batch in batches:
             buf, off = buffer_of(batch.column(batch.schema.get_field_index("text")))
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             for i, j in slices(off, size):
                 tokens, row = pre_tokens(path, buf[off[i]:off[j]], off[i:j + 1] - off[i])
-                code, distinct = pd.factorize(np.array(tokens, object))
-                entry, n = np.unique(code * np.int64(j - i) + row, return_counts=True)
-                per = np.bincount(entry // (j - i), minlength=len(distinct))
-                k = len(distinct)
+                code, distinct = pd.factorize(np.array(tokens, object), sort=True)
+                del tokens
+                k, n_rows = len(distinct), j - i
+                entry, n = np.unique(code * np.int64(n_rows) + row, return_counts=True)
+                matrix = _planes(np.bincount(entry // n_rows, minlength=k), entry % n_rows, n)
+                if chunk >> _CHUNK != part:
+                    raise ValueError("more chunks than a place can name; read the table in smaller partitions")
+                one = [pa.array([None] * k, t) for t in schema.types[2:]]
+                last = [[chunk], [ids.slice(i, n_rows).to_pylist()], [np.diff(off[i:j + 1])], [len(entry)], [matrix]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * (k + 1), pa.int64()), pa.array([*distinct, None], pa.string()),
-                     pa.array([*range(k), None], pa.int32()),
-                     pa.array([None] * k + [ids.slice(i, j - i).to_pylist()], schema.field("ids").type),
-                     pa.array([None] * k + [np.diff(off[i:j + 1])], schema.field("n_bytes").type),
-                     pa.array([None] * k + [len(entry)], pa.int64()),
-                     pa.array([None] * k + [_planes(per, entry % (j - i), n)], pa.binary())], schema=schema)
+                    [pa.array([*distinct, None], pa.string()), pa.array([*range(chunk << _AT, (chunk << _AT) + k), None], pa.int64()),
+                     *[pa.concat_arrays([a, pa.array(b, a.type)]) for a, b in zip(one, last)]], schema=schema)
                 chunk += 1
 
     return docs.mapInArrow(run, _CHUNKS)
 
 
 def count_pieces(tokens: DataFrame, path: str) -> DataFrame:
-    """(token, n) of distinct pre-tokens."""
+    """(chunk, k, at, n): packed counts of the pre-tokens of (token, place)."""
+    def packed(places: list[np.ndarray], counts: list[np.ndarray]):
+        place, n = np.concatenate(places), np.concatenate(counts)
+        order = np.argsort(place)
+        place, n = place[order], n[order]
+        cut = np.flatnonzero(np.r_[True, (place[1:] >> _AT) != (place[:-1] >> _AT), True])
+        parts = list(zip(cut[:-1].tolist(), cut[1:].tolist()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(place[cut[:-1]] >> _AT), pa.array(np.diff(cut)),
+             pa.array([_planes(np.diff(place[a:b] & ((1 << _AT) - 1), prepend=0), n[a:b]) for a, b in parts], pa.binary())],
+            ["chunk", "k", "counts"])
+
     def run(batches):
         sp, guard = _model(path), _pairs(path)[2]
         extra = len(sp.encode(guard))  # the model's own prefix ends before the guard
+        places, counts, last, held = [], [], (None, 0), 0
         for batch in batches:
-            got = sp.encode([guard + t for t in batch.column(0).to_pylist()], num_threads=1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) - extra for x in got], pa.int32())],
-                                             ["token", "n"])
-
-    return tokens.select("token").mapInArrow(run, "token string, n int")
+            code = batch.column(0).dictionary_encode()
+            words = code.dictionary.to_pylist()
+            fresh = [w for w in words if w != last[0]]  # the last one of the batch before is counted
+            got = dict(zip(fresh, map(len, sp.encode([guard + w for w in fresh], num_threads=1))))
+            n = np.array([got[w] - extra if w in got else last[1] for w in words], np.int64)
+            if words:
+                last = words[-1], int(n[-1])
+            places.append(np.asarray(batch.column(1)))
+            counts.append(n[np.asarray(code.indices)])
+            held += batch.num_rows
+            if held >= PACK:
+                yield packed(places, counts)
+                places, counts, held = [], [], 0
+        if held:
+            yield packed(places, counts)
+
+    dealt = tokens.repartition("token").sortWithinPartitions("token")
+    return dealt.mapInArrow(run, "chunk long, k long, counts binary")
 
 
 def _sums(meta: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
     m = meta.iloc[0]
-    n = np.zeros(len(counts), np.int64)
-    n[counts["at"].to_numpy()] = counts["n"].to_numpy()
+    n = np.zeros(int(counts["k"].sum()), np.int64)
+    for k, z in zip(counts["k"].tolist(), counts["counts"]):
+        gap, v = _unplanes(z, k, k)
+        n[np.cumsum(gap)] = v
     k = int(m["n_entries"])
     per, row, times = _unplanes(m["matrix"], len(n), k, k)
     total = np.bincount(row, weights=times * np.repeat(n, per), minlength=len(m["ids"])).astype(np.int64)
@@ -163,10 +201,8 @@ def token_counts(spark: SparkSession, docs: DataFrame, path: str, id_col: str =
                  limit: int = LIMIT) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every document for the
     sentencepiece model at `path`, which every executor can read."""
-    table = keep(spark, chunks(id_text(docs, id_col, text_col), path), "pre-tokens")
-    tokens = table.where("token is not null").select("token", "chunk", "at")
-    pieces = keep(spark, count_pieces(tokens.select("token").distinct(), path), "pieces")
-    counts = tokens.join(pieces, "token").select("chunk", "at", "n")
+    table = keep(spark, chunks(id_text(docs, id_col, text_col), path), "pre-tokens", "zstd")
+    counts = count_pieces(table.where("token is not null").select("token", "place"), path)
     meta = table.where("token is null").select(F.col("chunk").alias("of"), "ids", "n_bytes", "n_entries", "matrix")
     out = meta.groupBy("of").cogroup(counts.groupBy("chunk")).applyInPandas(_sums, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
