@@ -36,6 +36,7 @@ from wardstat.llm._store import keep
 from wardstat.llm._text import buffer_of, id_text, slices
 
 CHUNK = 8 << 20
+PART = 1 << 20            # bytes of a chunk that are split at a time
 PACK = 1 << 20            # counts that a task gathers before it sends them to their chunks
 SPACE = "▁"
 LIMIT = 4096
@@ -91,6 +92,27 @@ def pre_tokens(path: str, buf: np.ndarray, off: np.ndarray) -> tuple[list[str],
     return [s[a:b] for a, b in zip(e[:-1], e[1:])], row
 
 
+def _matrix(path: str, buf: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pre-tokens in order, and (pre-token, row, frequency), sorted.
+    Texts are split a part at a time: only distinct pre-tokens are held."""
+    index: dict[str, int] = {}
+    entries, times = [], []
+    for i, j in slices(off, PART):
+        tokens, row = pre_tokens(path, buf[off[i]:off[j]], off[i:j + 1] - off[i])
+        code, words = pd.factorize(np.array(tokens, object))
+        number = np.array([index.setdefault(w, len(index)) for w in words], np.int64)
+        entry, n = np.unique(number[code] * len(off) + row + i, return_counts=True)  # a row is in one part
+        entries.append(entry)
+        times.append(n)
+    distinct = sorted(index)
+    place = np.empty(len(index), np.int64)
+    place[[index[w] for w in distinct]] = np.arange(len(index))
+    entry = np.concatenate(entries)
+    code, row = place[entry // len(off)], entry % len(off)
+    order = np.lexsort((row, code))
+    return distinct, code[order], row[order], np.concatenate(times)[order]
+
+
 def _planes(*arrays: np.ndarray) -> bytes:
     """Numbers below 2^32, byte plane by byte plane, compressed."""
     raw = b"".join(np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes() for a in arrays)
@@ -129,16 +151,13 @@ def chunks(docs: DataFrame, path: str, size: int = CHUNK) -> DataFrame:
             buf, off = buffer_of(batch.column(batch.schema.get_field_index("text")))
             ids = batch.column(batch.schema.get_field_index("doc_id"))
             for i, j in slices(off, size):
-                tokens, row = pre_tokens(path, buf[off[i]:off[j]], off[i:j + 1] - off[i])
-                code, distinct = pd.factorize(np.array(tokens, object), sort=True)
-                del tokens
+                distinct, code, row, n = _matrix(path, buf[off[i]:off[j]], off[i:j + 1] - off[i])
                 k, n_rows = len(distinct), j - i
-                entry, n = np.unique(code * np.int64(n_rows) + row, return_counts=True)
-                matrix = _planes(np.bincount(entry // n_rows, minlength=k), entry % n_rows, n)
+                matrix = _planes(np.bincount(code, minlength=k), row, n)
                 if chunk >> _CHUNK != part:
                     raise ValueError("more chunks than a place can name; read the table in smaller partitions")
                 one = [pa.array([None] * k, t) for t in schema.types[2:]]
-                last = [[chunk], [ids.slice(i, n_rows).to_pylist()], [np.diff(off[i:j + 1])], [len(entry)], [matrix]]
+                last = [[chunk], [ids.slice(i, n_rows).to_pylist()], [np.diff(off[i:j + 1])], [len(n)], [matrix]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([*distinct, None], pa.string()), pa.array([*range(chunk << _AT, (chunk << _AT) + k), None], pa.int64()),
                      *[pa.concat_arrays([a, pa.array(b, a.type)]) for a, b in zip(one, last)]], schema=schema)
