@@ -11,7 +11,11 @@
 4. Every half-overlapping passage of every text is compared by cosine with
    the benchmark queries (in blocks of `BLOCK` queries); passages above
    `COSINE` that share as many words as a leak must (`need`) are candidates.
-5. A candidate is a leak if the longest common subsequence of the item and a
+5. A common subsequence is never longer than the number of words of the
+   stretch that stand in the item. Where no stretch around the passage has
+   `PARAPHRASE` of the item's length of them, the candidate goes: first by
+   counts of half passages, for all items at once, then word by word.
+6. A candidate is a leak if the longest common subsequence of the item and a
    stretch of 1.5 times its length around the passage covers `VERBATIM` of the item, or if it
    covers `PARAPHRASE` and the item's answer covers `ANSWER` of its words.
    The answer is the column `answer` if the benchmark has one, else the
@@ -24,6 +28,9 @@ once; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -256,17 +263,53 @@ class Items:
         used = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
         self.holds[used] = np.arange(1, len(used) + 1)
         self.member = np.zeros((len(used) + 1, len(parts)), bool)
+        self.held = np.zeros((len(used) + 1, len(words)), np.uint8)  # the same by item
         for q, p in enumerate(parts):
             self.member[self.holds[p], q] = True
-
-    def verdict(self, i: int, region: list[int]) -> tuple[float, float] | None:
+            self.held[self.holds[p], self.query_item[q]] = 1
+        size = np.array([len(w) for w in words], np.int64)
+        #: length of the stretches of an item, and words of one that must stand in the item
+        self.stretch = size + size // 2 + 2
+        self.least = np.ceil(PARAPHRASE * size - 1e-9).astype(np.int64)
+
+    def near_enough(self, dense: np.ndarray, row: np.ndarray, p: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """Which candidates (half passage p, item i) have some stretch within
+        reach whose half passages hold enough of the item's words. `dense`:
+        half passages as rows of `held`; row: the text of each."""
+        out = np.zeros(len(p), bool)
+        end = np.searchsorted(row, row, "right")
+        start = np.searchsorted(row, row, "left")
+        at = np.arange(len(row))
+        for k in range(0, len(self.words), 64):
+            mine = np.flatnonzero((i >= k) & (i < k + 64))
+            if not len(mine):
+                continue
+            items, col = np.unique(i[mine], return_inverse=True)
+            count = self.held[:, items][dense.ravel()].reshape(*dense.shape, len(items)).sum(axis=1, dtype=np.int32)
+            total = np.zeros((len(count) + 1, len(items)), np.int32)
+            np.cumsum(count, axis=0, out=total[1:])
+            for c, item in enumerate(items.tolist()):
+                halves = -(-(int(self.stretch[item]) - 1) // HALF) + 1  # that a stretch can touch
+                last = np.minimum(at + halves, end)
+                good = np.concatenate([[0], np.cumsum(total[last, c] - total[at, c] >= self.least[item])])
+                reach = -(-2 * len(self.words[item]) // HALF) + 1
+                m = mine[col == c]
+                lo, hi = np.maximum(p[m] - reach, start[p[m]]), np.minimum(p[m] + reach + 2, end[p[m]])
+                out[m] = good[hi] > good[lo]
+        return out
+
+    def verdict(self, i: int, region: np.ndarray) -> tuple[float, float] | None:
         """The best (lcs, answer) of half as long again as the item anywhere in
         the region, if it makes a leak: a longer stretch would hold much of a
         short item by chance."""
         w, best = self.words[i], None
-        size = len(w) + len(w) // 2 + 2
-        for a in range(0, max(1, len(region) - size + 1 + len(w) // 4), max(1, len(w) // 4)):
-            part = region[a:a + size]
+        size = int(self.stretch[i])
+        held = np.concatenate([[0], np.cumsum(self.held[self.holds[region], i], dtype=np.int64)])
+        starts = np.arange(0, max(1, len(region) - size + 1 + len(w) // 4), max(1, len(w) // 4))
+        starts = np.minimum(starts, len(region))
+        enough = held[np.minimum(starts + size, len(region))] - held[starts] >= self.least[i]
+        for a in starts[enough].tolist():
+            part = region[a:a + size].tolist()
             full = lcs(w, part) / len(w)
             if full >= PARAPHRASE:
                 answer = lcs(self.answers[i], part) / len(self.answers[i])
@@ -310,6 +353,9 @@ def _search(table: DataFrame, words: np.ndarray, items: Items) -> DataFrame:
                 p, q = hit_p[a:a + (1 << 15)], hit_q[a:a + (1 << 15)]
                 shared[a:a + (1 << 15)] = it.member[both[p], q[:, None]].sum(axis=1)
             ok = shared >= it.need[hit_q]
+            if not ok.any():
+                continue
+            ok[ok] = it.near_enough(dense, row, hit_p[ok], it.query_item[hit_q[ok]])
             if not ok.any():
                 continue
             cos = np.einsum("ij,ij->i", whole[hit_p[ok]], queries[:, hit_q[ok]].T)
@@ -326,7 +372,7 @@ def _search(table: DataFrame, words: np.ndarray, items: Items) -> DataFrame:
                 if (r, i, a) in done:
                     continue
                 done.add((r, i, a))
-                v = it.verdict(i, text[a:b].tolist())
+                v = it.verdict(i, text[a:b])
                 if v and v > found.get((r, i), ((-1.0, -1.0), 0))[0]:
                     found[r, i] = (v, c)
             if found:
@@ -343,17 +389,15 @@ def _search(table: DataFrame, words: np.ndarray, items: Items) -> DataFrame:
 
 
 def benchmark_items(bench: DataFrame, id_col: str = "item_id", text_col: str = "text",
-                    answer_col: str = "answer") -> list[tuple[int, np.ndarray, np.ndarray | None]]:
-    """The stated query set: (id, word ids, word ids of the answer) of every item with a word."""
+                    answer_col: str = "answer") -> Iterator[tuple[int, np.ndarray, np.ndarray | None]]:
+    """The stated query set: (id, word ids, word ids of the answer) of every item with a word, one after another."""
     cols = [F.col(id_col).cast("long"), F.col(text_col).cast("string")]
     cols.append(F.col(answer_col).cast("string") if answer_col in bench.columns else F.lit(None).cast("string"))
-    rows = bench.select(*cols).where(F.col(id_col).isNotNull()).distinct().toLocalIterator()
-    out = []
-    for i, text, answer in rows:
+    rows = bench.select(*[c.alias(n) for c, n in zip(cols, ("id", "text", "answer"))]).where("id is not null").distinct()
+    for i, text, answer in rows.orderBy("id", "text", "answer").toLocalIterator():
         words, ans = (word_ids(*buffer_of(pa.array([x], pa.string())))[0] for x in (text, answer))
         if len(words):
-            out.append((i, words, ans if len(ans) else None))
-    return sorted(out, key=lambda x: (x[0], x[1].tobytes()))
+            yield i, words, ans if len(ans) else None
 
 
 def find_leaks(spark: SparkSession, docs: DataFrame, bench: DataFrame, id_col: str = "doc_id",
@@ -363,11 +407,11 @@ def find_leaks(spark: SparkSession, docs: DataFrame, bench: DataFrame, id_col: s
     df, n = frequencies(table)
     idf = np.log((1 + n) / (1 + df))
     words = latent_space(table, idf, rank)
-    items = benchmark_items(bench)
-    out = None
-    for k in range(0, len(items), BLOCK):
-        part = items[k:k + BLOCK]
-        got = _search(table, words, Items([x[0] for x in part], [x[1] for x in part], [x[2] for x in part]))
+    items, out = benchmark_items(bench), None
+    while part := list(islice(items, BLOCK)):  # the driver holds one block
+        got = _search(table, words, Items(*map(list, zip(*part))))
+        if out is not None or len(part) == BLOCK:
+            got = keep(spark, got, "leaks")
         out = got if out is None else out.unionAll(got)
     if out is None:
         return spark.createDataFrame([], "doc_id long, item_id long, cosine double, lcs double, answer double")
