@@ -1,62 +1,77 @@
-"""Training: Spark ML pipeline, seeded random search with k-fold CV,
-held-out evaluation, importances, persistence and run logs.
-
-Pipeline (fitted on the training split only):
-  missing indicators (SQLTransformer) -> median Imputer -> VectorAssembler
-  -> GBTClassifier(weightCol)
-The learner cannot take NaN/NULL, so missing values are imputed and flagged
-instead; a column that is wholly NULL in the training split is left out
-(Imputer cannot fit it) and the kept list travels inside the fitted
-pipeline. Folds are the stratified `fold` column, used by CrossValidator
-through `foldCol`, so fold membership is data, not an RNG side effect.
+"""Training: adaptive search with k-fold CV over boosted trees, held-out
+evaluation, importances, persistence and run logs.
+
+The learner is `wardstat.operators.boosting`: second-order trees that learn
+a side for missing values, so nothing is imputed; a column that is wholly
+NULL in the training split is left out. Folds are the stratified `fold`
+column, so fold membership is data, not an RNG side effect. A batch of
+trials is grown in one pass, all folds of all its points side by side; the
+next batch is proposed from the trials table (`wardstat.operators.search`).
 """
 
 from __future__ import annotations
 
 import json
-import math
 import random
+import math
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardstat.functions.trees import missing_as_null, probability_column
+from wardstat.operators import boosting as B
 from wardstat.operators import metrics as M
 from wardstat.operators.features import state_vocabulary
 from wardstat.operators.quality import class_weight, with_weight
 from wardstat.operators.ranking import stratified_split
+from wardstat.operators.search import search
 from wardstat.schemas import MODEL_FEATURES, N_FOLDS, RANDOM_STATE, TARGET
+from wardstat.session import path_exists as table_exists
 
 MODEL_NAME = "readmission-risk-gbt"
-MISSING_SUFFIX = "__missing"
-IMPUTED_SUFFIX = "__imp"
-# Scale from a boosting "gamma" (loss reduction) to Spark's minInfoGain.
-GAMMA_SCALE = 0.01
+BATCH = 10  # trials of one pass
 
-# Search space: (low, high, kind); reg_alpha / reg_lambda have no Spark
-# counterpart and are not searched.
+#: (low, high, kind) of every parameter of the search
 SEARCH_SPACE = {
     "maxIter": (100, 600, "int"),
     "maxDepth": (3, 7, "int"),
     "stepSize": (0.01, 0.3, "log"),
     "subsamplingRate": (0.6, 1.0, "float"),
     "featureSubsetFraction": (0.6, 1.0, "float"),
-    "minInstancesPerNode": (1, 10, "int"),
+    "minInstancesPerNode": (1, 10, "int"),  # least hessian sum of a child
     "gamma": (0.0, 1.0, "float"),
+    "regAlpha": (1e-4, 10.0, "log"),
+    "regLambda": (1e-4, 10.0, "log"),
 }
 
+#: the booster's name of a parameter of the search
+BOOSTER_NAME = {"maxIter": "n_estimators", "maxDepth": "max_depth", "stepSize": "learning_rate",
+                "subsamplingRate": "subsample", "featureSubsetFraction": "colsample_bytree",
+                "minInstancesPerNode": "min_child_weight", "regAlpha": "reg_alpha", "regLambda": "reg_lambda"}
+
+
+def boost_params(p: dict) -> B.BoostParams:
+    return B.BoostParams.of({BOOSTER_NAME.get(k, k): v for k, v in p.items()})
+
+
+class BoostedModel:
+    """A fitted booster: `transform` adds `probability_1`, one projection over the rows."""
+
+    def __init__(self, booster: B.Booster):
+        self.booster = booster
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return (missing_as_null(df, self.booster.features)
+                .withColumn("probability_1", probability_column(self.booster)))
+
 
 @dataclass
 class TrainResult:
-    model: PipelineModel
+    model: BoostedModel
     features: list[str]
     best_params: dict
     metrics: dict
@@ -87,25 +102,6 @@ def sample_params(n_trials: int, seed: int = RANDOM_STATE,
     return out
 
 
-def _gbt_param_map(gbt: GBTClassifier, p: dict) -> dict:
-    m = {}
-    if "maxIter" in p:
-        m[gbt.maxIter] = int(p["maxIter"])
-    if "maxDepth" in p:
-        m[gbt.maxDepth] = int(p["maxDepth"])
-    if "stepSize" in p:
-        m[gbt.stepSize] = float(p["stepSize"])
-    if "subsamplingRate" in p:
-        m[gbt.subsamplingRate] = float(p["subsamplingRate"])
-    if "featureSubsetFraction" in p:
-        m[gbt.featureSubsetStrategy] = f"{float(p['featureSubsetFraction']):.4f}"
-    if "minInstancesPerNode" in p:
-        m[gbt.minInstancesPerNode] = int(p["minInstancesPerNode"])
-    if "gamma" in p:
-        m[gbt.minInfoGain] = float(p["gamma"]) * GAMMA_SCALE
-    return m
-
-
 def prepare(df: DataFrame, features: list[str], label: str | None = TARGET) -> DataFrame:
     """Model input columns as doubles (absent -> NULL) and a double label."""
     have = set(df.columns)
@@ -123,48 +119,51 @@ def kept_features(train: DataFrame, features: list[str]) -> list[str]:
     return [c for c in features if row[c] and row[c] > 0]
 
 
-def build_pipeline(features: list[str], seed: int = RANDOM_STATE,
-                   max_bins: int = 256) -> tuple[Pipeline, GBTClassifier]:
-    indicators = ", ".join(f"CAST({c} IS NULL AS DOUBLE) AS {c}{MISSING_SUFFIX}" for c in features)
-    flags = SQLTransformer(statement=f"SELECT *, {indicators} FROM __THIS__")
-    imputer = Imputer(strategy="median", inputCols=features,
-                      outputCols=[c + IMPUTED_SUFFIX for c in features])
-    assembler = VectorAssembler(
-        inputCols=[c + IMPUTED_SUFFIX for c in features] + [c + MISSING_SUFFIX for c in features],
-        outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
-                        seed=seed, maxBins=max_bins)
-    return Pipeline(stages=[flags, imputer, assembler, gbt]), gbt
+def positive_probability(scored: DataFrame, out: str = "probability_1") -> DataFrame:
+    return scored if out == "probability_1" else scored.withColumnRenamed("probability_1", out)
 
 
-def positive_probability(scored: DataFrame, out: str = "probability_1") -> DataFrame:
-    return scored.withColumn(out, vector_to_array(F.col("probability"))[1])
+def importances(model: BoostedModel) -> list[tuple[str, float]]:
+    """(feature, importance): mean gain of the feature's splits as a share of all."""
+    return model.booster.importances()
 
 
-def importances(model: PipelineModel) -> list[tuple[str, float]]:
-    """(feature, importance) of the fitted booster: a feature's value and its
-    missing flag count together. The few dozen assembler inputs live in the
-    model on the driver already."""
-    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
-    gbt = model.stages[-1]
-    total: dict[str, float] = {}
-    for name, v in zip(assembler.getInputCols(), gbt.featureImportances.toArray().tolist()):
-        feature = name.removesuffix(IMPUTED_SUFFIX).removesuffix(MISSING_SUFFIX)
-        total[feature] = total.get(feature, 0.0) + float(v)
-    return list(total.items())
+def cross_validate(train_in: DataFrame, features: list[str], cuts: list[list[float]], points: list[dict],
+                   n_folds: int = N_FOLDS, seed: int = RANDOM_STATE) -> list[dict]:
+    """Mean and standard deviation of the held-out AUC of every point over the
+    folds. All points and folds are grown side by side: one job a level."""
+    specs = [B.Spec(boost_params(p), k, seed) for p in points for k in range(n_folds)]
+    models, state = B.fit(pack_rows(train_in, features, cuts, len(specs)), features, cuts, specs)
+    scores = B.margins(state, len(features), [s.holdout for s in specs])
+    auc = {r["model"]: r["auc"] for r in M.roc_auc(scores, by=["model"]).collect()}  # one row a model
+    state.unpersist()
+    out = []
+    for i in range(len(points)):
+        folds = np.array([x if x is not None else math.nan for x in (auc.get(i * n_folds + k) for k in range(n_folds))], float)
+        out.append({"cv_auc_mean": float(folds.mean()), "cv_auc_std": float(folds.std())})
+    return out
+
+
+def pack_rows(train_in: DataFrame, features: list[str], cuts: list[list[float]], models: int = 1) -> DataFrame:
+    fold = F.col("fold") if "fold" in train_in.columns else F.lit(0)
+    keyed = train_in.withColumn("key", F.xxhash64("facility_id")).withColumn("fold", F.coalesce(fold, F.lit(-1)))
+    return B.pack(keyed, features, cuts, models)
 
 
 def train(spark: SparkSession, features_df: DataFrame, n_trials: int = 50,
-          n_folds: int = N_FOLDS, seed: int = RANDOM_STATE, parallelism: int = 2,
+          n_folds: int = N_FOLDS, seed: int = RANDOM_STATE, parallelism: int = BATCH,
           fixed_params: dict | None = None, max_bins: int = 256,
-          space: dict | None = None) -> TrainResult:
+          space: dict | None = None, trials_path: str | None = None, run_id: str | None = None) -> TrainResult:
     """Split, search, refit on the whole training split, evaluate on the
-    held-out split. `fixed_params` skips the search (one param map, no CV).
+    held-out split. `fixed_params` skips the search (one point, no CV);
+    `parallelism` is the number of trials grown in one pass. With
+    `trials_path`, finished batches are appended to the trials table there,
+    and a search of the same `run_id` goes on from what it holds.
     """
     # The split hospital table is read by the class weight, the column check,
-    # the training input and the held-out evaluation: checkpoint it once to
-    # the shared checkpoint folder instead of recomputing the features each
-    # time (this also cuts the lineage under the long CV).
+    # the thresholds, the blocks and the held-out evaluation: checkpoint it
+    # once to the shared checkpoint folder instead of recomputing the features
+    # each time.
     split = stratified_split(features_df, n_folds=n_folds, seed=seed).checkpoint(eager=True)
     train_df = split.filter(F.col("split") == "train")
     test_df = split.filter(F.col("split") == "test")
@@ -173,29 +172,31 @@ def train(spark: SparkSession, features_df: DataFrame, n_trials: int = 50,
     spw = float(cw["scale_pos_weight"])
     feats = kept_features(train_df, MODEL_FEATURES)
 
-    train_in = prepare(with_weight(train_df, spw), feats).persist()
+    train_in = prepare(with_weight(train_df, round(spw, 4)), feats).persist()
     n_train = train_in.count()
-    pipeline, gbt = build_pipeline(feats, seed, max_bins)
+    cuts = B.cut_points(train_in, feats, max_bins)
 
     trials: list[dict] = []
     if fixed_params is not None:
         best = dict(fixed_params)
-        model = pipeline.fit(train_in, params=_gbt_param_map(gbt, best))
     else:
-        grid = sample_params(n_trials, seed, space)
-        maps = [_gbt_param_map(gbt, p) for p in grid]
-        evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction",
-                                                  metricName="areaUnderROC", numBins=0)
-        cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=evaluator,
-                            numFolds=n_folds, foldCol="fold", parallelism=parallelism, seed=seed)
-        cvm = cv.fit(train_in)
-        stds = list(getattr(cvm, "stdMetrics", []) or [float("nan")] * len(grid))
-        for i, (p, m, s) in enumerate(zip(grid, cvm.avgMetrics, stds)):
-            trials.append({"trial": i, "params": {k: str(v) for k, v in p.items()},
-                           "cv_auc_mean": float(m), "cv_auc_std": float(s)})
-        best_i = max(range(len(grid)), key=lambda i: cvm.avgMetrics[i])
-        best = dict(grid[best_i])
-        model = cvm.bestModel
+        run_id = run_id or new_run_id()
+        done: list[dict] = []
+        if trials_path and table_exists(spark, trials_path):
+            done = [r.asDict() for r in spark.read.schema(TRIAL_SCHEMA).parquet(trials_path)
+                    .where(F.col("run_id") == run_id).collect()]  # a row a trial
+        save = None
+        if trials_path:
+            def save(new):
+                trial_frame(spark, run_id, [_as_row(t) for t in new]).write.mode("append").parquet(trials_path)
+        found = search(space or SEARCH_SPACE, n_trials,
+                       lambda points: cross_validate(train_in, feats, cuts, points, n_folds, seed),
+                       seed, max(1, parallelism), done, save)
+        trials = [_as_row(t) for t in found]
+        best = dict(max(found, key=lambda t: (t["cv_auc_mean"] if t["cv_auc_mean"] == t["cv_auc_mean"] else -1.0, -t["trial"]))["params"])
+    models, state = B.fit(pack_rows(train_in, feats, cuts), feats, cuts, [B.Spec(boost_params(best), None, seed)])
+    state.unpersist()
+    model = BoostedModel(models[0])
 
     test_in = prepare(test_df, feats)
     scored = positive_probability(model.transform(test_in))
@@ -213,6 +214,10 @@ def train(spark: SparkSession, features_df: DataFrame, n_trials: int = 50,
                        n_train=n_train, n_test=n_test)
 
 
+def _as_row(t: dict) -> dict:
+    return {**t, "params": {k: str(v) for k, v in t["params"].items()}}
+
+
 # ---------------------------------------------------------------------------
 # Importances, trial and run tables
 # ---------------------------------------------------------------------------
@@ -286,9 +291,10 @@ def run_record(spark: SparkSession, run_id: str, res: TrainResult, n_trials: int
 
 def save_model(spark: SparkSession, res: TrainResult, path: str,
                vocabulary: DataFrame | None = None, version: str = "local") -> str:
-    """Pipeline model + info (name, version, ordered features) + optional
-    state vocabulary, all under `path`."""
-    res.model.write().overwrite().save(f"{path}/pipeline")
+    """Booster + info (name, version, ordered features) + optional state
+    vocabulary, all under `path`."""
+    spark.createDataFrame([(res.model.booster.to_json(),)], "booster string").coalesce(1) \
+        .write.mode("overwrite").text(f"{path}/booster")
     info = {"model_name": MODEL_NAME, "model_version": version, "feature_names": res.features,
             "metrics": res.metrics, "best_params": {k: str(v) for k, v in res.best_params.items()},
             "importances": dict(res.importances)}
@@ -301,7 +307,7 @@ def save_model(spark: SparkSession, res: TrainResult, path: str,
 
 @dataclass
 class LoadedModel:
-    model: PipelineModel
+    model: BoostedModel
     features: list[str]
     version: str
     name: str
@@ -312,13 +318,12 @@ class LoadedModel:
 
 
 def load_model(spark: SparkSession, path: str) -> LoadedModel:
-    from wardstat.session import path_exists
-    if not path_exists(spark, f"{path}/pipeline"):
+    if not table_exists(spark, f"{path}/booster"):
         raise FileNotFoundError(f"no model at {path}; train one first")
-    model = PipelineModel.load(f"{path}/pipeline")
+    model = BoostedModel(B.Booster.from_json(spark.read.text(f"{path}/booster").first()[0]))
     info = json.loads(spark.read.text(f"{path}/info").first()[0])
     vocab = None
-    if path_exists(spark, f"{path}/state_vocabulary"):
+    if table_exists(spark, f"{path}/state_vocabulary"):
         vocab = spark.read.parquet(f"{path}/state_vocabulary")
     return LoadedModel(model=model, features=info["feature_names"], version=info["model_version"],
                        name=info["model_name"], vocabulary=vocab, metrics=info.get("metrics", {}),
