@@ -32,7 +32,7 @@ HEADLINE = [
     "recent_predictions",
     "state_risk",
     "normalise_scores",
-    "score_batch",         # validate -> assemble -> saved model -> tier (model trained in warm-up)
+    "score_batch",         # validate -> assemble -> compiled trees -> tier
 ]
 
 
@@ -46,12 +46,8 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
                           app_name="wardstat-bench")
-    # warm-up (JIT, file listing caches); the scoring query's model is
-    # trained here, outside the timed runs
+    # warm-up (JIT, file listing caches)
     QUERIES["feature_table"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    if "score_batch" in names:
-        from wardstat.plans.catalog import trained_model
-        trained_model(spark, sf_dir)
 
     times: dict[str, float] = {}
     for name in names:

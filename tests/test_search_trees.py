@@ -118,9 +118,31 @@ def test_absent_columns_are_missing_and_an_empty_model_says_one_half(spark):
     assert df.select(TR.probability_column(B.Booster(["a"], B.BoostParams()))).first()[0] == 0.5
 
 
-def test_large_models_run_as_compiled_code(spark):
-    """Hundreds of deep trees: the scoring projection is generated code, not interpreted."""
-    booster = random_booster(random.Random(3), 300, 6)
-    df = spark.range(0, 200_000, 1, 8).select("id", *[(F.rand(i) * 2 - 0.5).alias(c) for i, c in enumerate("abc")])
-    out = df.select(TR.probability_column(booster).alias("p")).agg(F.count("p"), F.min("p"), F.max("p")).first()
+def table(spark, n):
+    return spark.range(0, n, 1, 8).select("id", *[F.when(F.col("id") % 7 != i, F.rand(i) * 2 - 0.5).alias(c) for i, c in enumerate("abc")])
+
+
+def test_a_serving_model_runs_as_compiled_code(spark):
+    """A hundred trees: a generated projection of its own, neither interpreted nor in Python."""
+    booster = random_booster(random.Random(3), 100, 4)
+    scored = table(spark, 200_000).select(TR.probability_column(booster).alias("p"))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "*" not in next(line for line in plan.splitlines() if "Project" in line) and "Python" not in plan
+    out = scored.agg(F.count("p"), F.min("p"), F.max("p")).first()
     assert out[0] == 200_000 and 0 < out[1] < out[2] < 1
+
+
+def test_batches_and_expressions_agree(spark, monkeypatch):
+    booster = random_booster(random.Random(3), 60, 4)
+    df = table(spark, 2000).cache()
+    want = {r["id"]: r["p"] for r in df.select("id", TR.probability_column(booster).alias("p")).collect()}
+    monkeypatch.setattr(TR, "COMPILED", 10)
+    batched = df.select("id", TR.probability_column(booster).alias("p"))
+    assert "ArrowEvalPython" in batched._jdf.queryExecution().executedPlan().toString()
+    assert all(r["p"] == pytest.approx(want[r["id"]], abs=1e-15) for r in batched.collect())
+
+
+def test_the_largest_model_of_the_search_scores(spark):
+    booster = random_booster(random.Random(3), 600, 7)
+    out = table(spark, 20_000).select(TR.probability_column(booster).alias("p")).agg(F.count("p"), F.min("p")).first()
+    assert out[0] == 20_000 and out[1] > 0

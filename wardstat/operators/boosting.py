@@ -389,6 +389,16 @@ def find_splits(state: DataFrame, trees: list[_Growing], slots: np.ndarray, part
     return got
 
 
+def root_splits(state: DataFrame, features: Sequence[str], cuts: Sequence[Sequence[float]], params: BoostParams) -> DataFrame:
+    """(feature, threshold, missing_left, gain): the best first split of every
+    feature that has one, of the rows as `pack` gives them."""
+    slots = np.array([len(c) + 2 for c in cuts], np.int64)
+    rows = find_splits(state, [_Growing(Spec(params), 0, 0, len(features))], slots, len(features))
+    out = [(features[r["feature"]], float(cuts[r["feature"]][r["cut"]]), r["missing_left"], r["gain"])
+           for r in rows if r["feature"] >= 0]  # a row a feature
+    return state.sparkSession.createDataFrame(out, "feature string, threshold double, missing_left boolean, gain double")
+
+
 def _grow(state: DataFrame, trees: list[_Growing], slots: np.ndarray, partitions: int) -> None:
     """Grow the trees to their end, level by level."""
     depth = 0

@@ -34,6 +34,7 @@ QUERIES: dict[str, QueryFn] = {}
 
 DIGITS = 6
 CAPPED_ROWS = 1200
+DRIFT_UNTIL = "2024-01-08 00:00:00"
 SAMPLE_N = 100
 HISTORY_N = 100
 
@@ -80,6 +81,11 @@ def requests(spark, sf):
     return D.requests(wide(spark, sf))
 
 
+def published(spark, sf):
+    """Requests as a client sends them: values with six decimals."""
+    return finish(requests(spark, sf))
+
+
 def log(spark, sf):
     return D.prediction_log(spark, sf)
 
@@ -402,7 +408,7 @@ def q_normalise_scores(spark, sf):
 
 @query("features_json")
 def q_features_json(spark, sf):
-    return S.features_json(requests(spark, sf)).select("facility_id", "input_features")
+    return S.features_json(published(spark, sf)).select("facility_id", "input_features")
 
 
 def queries() -> dict[str, QueryFn]:
@@ -413,16 +419,14 @@ __all__ = ["queries", "QUERIES", "finish", "raw", "wide", "features", "requests"
 
 
 # ---------------------------------------------------------------------------
-# Model-backed queries (rows-only checks: learner output is not SQL)
+# Model-backed queries (a fit is not SQL; scores of the serving model are)
 # ---------------------------------------------------------------------------
 
-FIXED_PARAMS = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 1.0,
-                "minInstancesPerNode": 1}
-SEARCH_TRIALS = 2
-SEARCH_SPACE_SMALL = {"maxIter": (5, 10, "int"), "maxDepth": (2, 4, "int"),
-                      "stepSize": (0.05, 0.3, "log"), "subsamplingRate": (0.8, 1.0, "float"),
-                      "featureSubsetFraction": (0.8, 1.0, "float"),
-                      "minInstancesPerNode": (1, 5, "int"), "gamma": (0.0, 1.0, "float")}
+#: a point of the declared search space
+FIXED_PARAMS = {"maxIter": 100, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.9, "featureSubsetFraction": 0.9,
+                "minInstancesPerNode": 2, "gamma": 0.1, "regAlpha": 0.01, "regLambda": 1.0}
+SEARCH_TRIALS = 12        # of 50, and of fewer trees: README gives the time of the whole search
+SEARCH_TREES = (5, 10, "int")
 _MODELS: dict = {}
 
 
@@ -441,9 +445,9 @@ def trained_model(spark, sf):
 
 
 def _score(spark, sf, log_path=None):
+    from wardstat.plans import model as MD
     from wardstat.plans import score as SC
-    _, lm, _ = trained_model(spark, sf)
-    return SC.score_batch(spark, lm, requests(spark, sf), log_path=log_path, batch_id=1)
+    return SC.score_batch(spark, MD.serving_model(spark), published(spark, sf), log_path=log_path, batch_id=1)
 
 
 @query("top_importances")
@@ -455,7 +459,8 @@ def q_top_importances(spark, sf):
 
 @query("score_batch")
 def q_score_batch(spark, sf):
-    return _score(spark, sf).responses
+    """The request batch scored by the serving model (its ordinals follow the scan order)."""
+    return _score(spark, sf).responses.drop("ordinal")
 
 
 @query("batch_guard_summary")
@@ -467,13 +472,35 @@ def q_batch_guard_summary(spark, sf):
 def q_prediction_log_rows(spark, sf):
     out = scratch_dir(spark, "log")
     _score(spark, sf, log_path=out).release()  # the result is read back from the log
-    return spark.read.parquet(out).drop("timestamp", "log_date")
+    return spark.read.parquet(out).drop("timestamp", "log_date", "id", "ordinal")
+
+
+ROOT_CUTS = [0.7 + 0.02 * i for i in range(31)]
+ROOT_PARAMS = {"reg_alpha": 0.5, "reg_lambda": 1.0, "min_child_weight": 1.0}
+
+
+@query("root_splits")
+def q_root_splits(spark, sf):
+    """First split of every ratio from second-order gain, missing values on their better side."""
+    from wardstat.operators import boosting as B
+    from wardstat.schemas import EXCESS_COLUMNS
+    cuts = [ROOT_CUTS] * len(EXCESS_COLUMNS)
+    rows = features(spark, sf).select(F.xxhash64("facility_id").alias("key"), F.col(TARGET).alias("label"),
+                                      F.lit(1.0).alias("weight"), F.lit(0).alias("fold"), *EXCESS_COLUMNS)
+    return B.root_splits(B.pack(rows, EXCESS_COLUMNS, cuts), EXCESS_COLUMNS, cuts, B.BoostParams(**ROOT_PARAMS))
+
+
+@query("drift")
+def q_drift(spark, sf):
+    """PSI and KS of every day's scores against the first week of the log."""
+    from wardstat.operators.drift import drift
+    return drift(log(spark, sf), F.col("window_end") <= F.lit(DRIFT_UNTIL).cast("timestamp"))
 
 
 @query("best_trial")
 def q_best_trial(spark, sf):
     from wardstat.plans import model as MD
-    res = MD.train(spark, features(spark, sf), n_trials=SEARCH_TRIALS, space=SEARCH_SPACE_SMALL)
+    res = MD.train(spark, features(spark, sf), n_trials=SEARCH_TRIALS, space={**MD.SEARCH_SPACE, "maxIter": SEARCH_TREES})
     return MD.best_trial(MD.trial_frame(spark, "run", res.trials))
 
 

@@ -12,8 +12,9 @@ next batch is proposed from the trials table (`wardstat.operators.search`).
 from __future__ import annotations
 
 import json
-import random
 import math
+import os
+import random
 import uuid
 from dataclasses import dataclass, field
 
@@ -34,6 +35,8 @@ from wardstat.session import path_exists as table_exists
 
 MODEL_NAME = "readmission-risk-gbt"
 BATCH = 10  # trials of one pass
+#: model that scoring uses unless a trained one is given (tools/train_model.py writes it)
+SERVING_MODEL = os.path.join(os.path.dirname(os.path.abspath(__file__)), "serving_model.json")
 
 #: (low, high, kind) of every parameter of the search
 SEARCH_SPACE = {
@@ -317,6 +320,16 @@ class LoadedModel:
     importances: list[tuple[str, float]] = field(default_factory=list)
 
 
+def serving_model(spark: SparkSession, path: str = SERVING_MODEL) -> LoadedModel:
+    """The model of a JSON file: booster, state vocabulary, metrics, parameters."""
+    with open(path) as f:
+        d = json.load(f)
+    booster = B.Booster.from_json(json.dumps(d["booster"]))
+    vocabulary = spark.createDataFrame([(k, int(v)) for k, v in d["vocabulary"].items()], "state_key string, state_encoded int")
+    return LoadedModel(model=BoostedModel(booster), features=booster.features, version=d["version"], name=d["name"],
+                       vocabulary=vocabulary, metrics=d["metrics"], best_params=d["best_params"], importances=booster.importances())
+
+
 def load_model(spark: SparkSession, path: str) -> LoadedModel:
     if not table_exists(spark, f"{path}/booster"):
         raise FileNotFoundError(f"no model at {path}; train one first")

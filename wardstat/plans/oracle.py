@@ -8,7 +8,14 @@ doubles are rounded to 6 decimals like `catalog.finish`.
 
 from __future__ import annotations
 
+import json
+
 from wardstat.functions.numeric import NUMBER_PATTERN
+from wardstat.functions.trees import number_sql, probability_sql
+from wardstat.operators.boosting import Booster
+from wardstat.operators.drift import BINS as DRIFT_BINS
+from wardstat.operators.drift import FLOOR as DRIFT_FLOOR
+from wardstat.plans.model import SERVING_MODEL
 from wardstat.schemas import (
     AGGREGATE_FEATURES, DISCHARGE_COLUMNS, EXCESS_COLUMNS, FEATURE_TABLE_COLUMNS, ID_COLUMNS,
     MEASURE_CODES, MEASURE_FEATURES, MODEL_FEATURES, PREDICTED_COLUMNS, RAW_FIELDS, RAW_NUMERIC,
@@ -462,6 +469,73 @@ def build() -> dict[str, str]:
         f"SELECT x.id, x.facility_id, round(CASE WHEN g.lo < {d(0.0)} OR g.hi > {d(1.0)} "
         f"THEN 1.0 / (1.0 + exp(-x.raw_score)) ELSE x.raw_score END, 6) AS score "
         "FROM x JOIN g ON x.facility_id = g.facility_id")
+    q.update(_model_queries())
+    return q
+
+
+def _json(cols: list[str]) -> str:
+    """JSON object of the columns that are not NULL, as text."""
+    return "'{' || concat_ws(',', " + ", ".join(f"""'"{c}":' || CAST({d(c)} AS VARCHAR)""" for c in cols) + ") || '}'"
+
+
+def _model_queries() -> dict[str, str]:
+    """Scores of the serving model, split gains and drift."""
+    q: dict[str, str] = {}
+    with open(SERVING_MODEL) as f:
+        model = json.load(f)
+    booster = Booster.from_json(json.dumps(model["booster"]))
+    serving = _aggs(True)
+    code = "CASE coalesce(state, 'Unknown') " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in model["vocabulary"].items()) + " ELSE -1 END"
+    asm = (f"asm AS (SELECT {', '.join(ID_COLUMNS)}, {_json(MEASURE_FEATURES)} AS input_features, "
+           + ", ".join([f"{d(c)} AS {c}" for c in MEASURE_FEATURES] + [f"{d(serving[c])} AS {c}" for c in AGGREGATE_FEATURES])
+           + f", {d(code)} AS state_encoded FROM reqerr WHERE errors = '')")
+    prob = f"prob AS (SELECT {', '.join(ID_COLUMNS)}, input_features, {probability_sql(booster)} AS p FROM asm)"
+    sent = f"sent AS (SELECT {', '.join(ID_COLUMNS)}, {', '.join(r(c, c) for c in MEASURE_FEATURES)} FROM req)"
+    base = with_(RAW, COERCED, CLEAN, WIDE, REQ, sent, REQ_ERR.replace("FROM req)", "FROM sent)"), asm, prob)
+    ids, version = ", ".join(ID_COLUMNS), model["version"]
+    q["score_batch"] = base + (f"SELECT {ids}, round(round(p, 4), 6) AS risk_score, {tier('p')} AS risk_level, "
+                               f"'{version}' AS model_version FROM prob")
+    q["batch_guard_summary"] = base + (
+        f"SELECT count(*) AS total, CAST(count_if(p >= {d(0.65)}) AS BIGINT) AS high_risk_count, "
+        "round(round(avg(round(p, 4)), 4), 6) AS mean_risk_score, "
+        f"count(*) - CAST(count_if(p >= {d(0.65)}) AS BIGINT) AS low_medium_count FROM prob")
+    q["prediction_log_rows"] = base + (
+        f"SELECT {ids}, input_features, round(p, 6) AS risk_score, {tier('p')} AS risk_level, '{version}' AS model_version, "
+        "'batch' AS source_id, CAST(1 AS BIGINT) AS batch_id FROM prob")
+    q["features_json"] = with_(RAW, COERCED, CLEAN, WIDE, REQ, sent) + f"SELECT facility_id, {_json(MEASURE_FEATURES)} AS input_features FROM sent"
+
+    from wardstat.plans.catalog import DRIFT_UNTIL, ROOT_CUTS, ROOT_PARAMS
+    long = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS x, {d(0.5)} - {TARGET} AS g, {d(0.25)} AS h FROM feat" for c in EXCESS_COLUMNS)
+    cuts = ", ".join(number_sql(c) for c in ROOT_CUTS)
+    alpha, lam, least = (number_sql(ROOT_PARAMS[k]) for k in ("reg_alpha", "reg_lambda", "min_child_weight"))
+
+    def score(g: str, h: str) -> str:
+        t = f"greatest(abs({g}) - {alpha}, 0e0)"
+        return f"{t} * {t} / ({h} + {lam})"
+    q["root_splits"] = with_(
+        *BASE_FEAT, f"long AS ({long})", f"cuts AS (SELECT unnest([{cuts}]) AS c)",
+        "side AS (SELECT feature, c, miss, sum(g) AS g, sum(h) AS h, "
+        "coalesce(sum(g) FILTER (x < c OR (miss AND x IS NULL)), 0e0) AS gl, "
+        "coalesce(sum(h) FILTER (x < c OR (miss AND x IS NULL)), 0e0) AS hl "
+        "FROM long, cuts, (SELECT unnest([false, true]) AS miss) GROUP BY feature, c, miss)",
+        f"gains AS (SELECT feature, c, miss, {score('gl', 'hl')} + {score('(g - gl)', '(h - hl)')} - {score('g', 'h')} AS gain "
+        f"FROM side WHERE hl >= {least} AND h - hl >= {least})") + (
+        "SELECT feature, round(c, 6) AS threshold, miss AS missing_left, round(gain, 6) AS gain FROM gains "
+        "QUALIFY row_number() OVER (PARTITION BY feature ORDER BY gain DESC, c, miss) = 1")
+
+    bins = range(DRIFT_BINS)
+    win = ("win AS (SELECT date_trunc('day', timestamp) AS window_start, date_trunc('day', timestamp) + INTERVAL 1 DAY AS window_end, "
+           "count(*) AS n, " + ", ".join(f"count_if(b = {i}) AS c{i}" for i in bins)
+           + f" FROM (SELECT *, greatest(0, least({DRIFT_BINS - 1}, CAST(floor(risk_score * {DRIFT_BINS}) AS INTEGER))) AS b "
+             "FROM log WHERE risk_score IS NOT NULL) GROUP BY 1, 2)")
+    ref = ("ref AS (SELECT sum(n) AS rn, " + ", ".join(f"sum(c{i}) AS r{i}" for i in bins)
+           + f" FROM win WHERE window_end <= TIMESTAMP '{DRIFT_UNTIL}' HAVING sum(n) > 0)")
+    share = [(f"greatest({d(f'c{i}')} / n, {DRIFT_FLOOR})", f"greatest({d(f'r{i}')} / rn, {DRIFT_FLOOR})") for i in bins]
+    psi = " + ".join(f"({a} - {e}) * ln({a} / {e})" for a, e in share)
+    gaps = ", ".join("abs(({}) / {} - ({}) / {})".format(
+        " + ".join(d(f"c{j}") for j in range(i + 1)), "n", " + ".join(d(f"r{j}") for j in range(i + 1)), "rn") for i in bins)
+    q["drift"] = with_(LOG, win, ref) + (
+        f"SELECT window_start, window_end, n, round({psi}, 6) AS psi, round(greatest({gaps}), 6) AS ks FROM win, ref")
     return q
 
 
