@@ -47,7 +47,6 @@ QUERY_WORDS = 64          # longer items are searched in parts of this size
 BLOCK = 2048
 COSINE, SHARED = 0.2, 0.5
 VERBATIM, PARAPHRASE, ANSWER = 0.9, 0.7, 0.5
-STEP = 1 << 12            # passages compared with a block of queries at a time
 TASK_BYTES = 32 << 20     # word ids that a task adds up
 FAN = 64                  # partial sums that meet in one group
 BLOCKS = 64               # row blocks in which partial sums travel
@@ -177,7 +176,7 @@ def latent_space(table: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int
         f = f[order]
         cut = np.flatnonzero(np.r_[True, f[1:] != f[:-1]]) if len(f) else np.zeros(0, np.int64)
         if len(cut):
-            acc[f[cut]] += np.add.reduceat(y[p[order]], cut, axis=0) * weight.value[f[cut], None]
+            acc[f[cut]] += _sum_runs(y[p[order]], cut) * weight.value[f[cut], None]
 
     q, _ = np.linalg.qr(_sums(table, range_step, rank))
     words = (q * idf[:, None]).astype(np.float32)
@@ -205,10 +204,26 @@ def _embed(m: np.ndarray, mask: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Sum of the word vectors of each passage."""
     y = np.zeros((len(m), words.shape[1]), np.float32)
     for j in range(m.shape[1]):  # column by column: no three-dimensional copy
-        y += words.take(m[:, j], 0) * mask[:, j, None]
+        x = words.take(m[:, j], 0)
+        x[np.flatnonzero(~mask[:, j])] = 0
+        y += x
     return y
 
 
+def _sum_runs(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows first[i]:first[i+1]: the k-th rows of all runs at once
+    while many runs have one, the few long ones each for itself."""
+    n, out, k = np.diff(np.append(first, len(x))), x[first], 1
+    live = np.flatnonzero(n > 1)
+    while len(live) > 256:
+        out[live] += x[first[live] + k]
+        k += 1
+        live = live[n[live] > k]
+    for i in live.tolist():
+        out[i] += x[first[i] + k:first[i] + n[i]].sum(axis=0)
+    return out
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-12)
 
@@ -259,43 +274,63 @@ class Items:
         #: words that a passage must share, by query
         self.need = np.array([need(p, len(words[i]), int(n)) for p, i, n in
                               zip(parts, self.query_item, np.bincount(self.query_item, minlength=1)[self.query_item])])
-        self.holds = np.zeros((IDS,), np.int32)  # id -> dense row of `member`, 0: in no query
+        self.holds = np.zeros((IDS,), np.int32)  # id -> dense row of `held`, 0: in no query
         used = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
         self.holds[used] = np.arange(1, len(used) + 1)
-        self.member = np.zeros((len(used) + 1, len(parts)), bool)
-        self.held = np.zeros((len(used) + 1, len(words)), np.uint8)  # the same by item
+        self.held = np.zeros((len(used) + 1, len(words)), np.uint8)  # words of each item
         for q, p in enumerate(parts):
-            self.member[self.holds[p], q] = True
             self.held[self.holds[p], self.query_item[q]] = 1
         size = np.array([len(w) for w in words], np.int64)
         #: length of the stretches of an item, and words of one that must stand in the item
         self.stretch = size + size // 2 + 2
         self.least = np.ceil(PARAPHRASE * size - 1e-9).astype(np.int64)
 
-    def near_enough(self, dense: np.ndarray, row: np.ndarray, p: np.ndarray, i: np.ndarray) -> np.ndarray:
-        """Which candidates (half passage p, item i) have some stretch within
-        reach whose half passages hold enough of the item's words. `dense`:
-        half passages as rows of `held`; row: the text of each."""
-        out = np.zeros(len(p), bool)
-        end = np.searchsorted(row, row, "right")
-        start = np.searchsorted(row, row, "left")
+    def counts(self, dense: np.ndarray) -> np.ndarray:
+        """Words of every item in each half passage (rows of `held`)."""
+        out = np.empty((len(dense), len(self.words)), np.int16)
+        for k in range(0, len(self.words), 256):
+            part = np.ascontiguousarray(self.held[:, k:k + 256])
+            out[:, k:k + 256] = part[dense.ravel()].reshape(*dense.shape, -1).sum(axis=1, dtype=np.uint8)
+        return out
+
+    def within_reach(self, count: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """(half passage, item): some stretch around it has half passages with
+        enough of the item's words. `row`: the text of each half passage."""
+        total = np.zeros((len(count) + 1, len(self.words)), np.int32)
+        np.cumsum(count, axis=0, out=total[1:])
+        start, end = np.searchsorted(row, row, "left"), np.searchsorted(row, row, "right")
         at = np.arange(len(row))
-        for k in range(0, len(self.words), 64):
-            mine = np.flatnonzero((i >= k) & (i < k + 64))
-            if not len(mine):
-                continue
-            items, col = np.unique(i[mine], return_inverse=True)
-            count = self.held[:, items][dense.ravel()].reshape(*dense.shape, len(items)).sum(axis=1, dtype=np.int32)
-            total = np.zeros((len(count) + 1, len(items)), np.int32)
-            np.cumsum(count, axis=0, out=total[1:])
-            for c, item in enumerate(items.tolist()):
-                halves = -(-(int(self.stretch[item]) - 1) // HALF) + 1  # that a stretch can touch
-                last = np.minimum(at + halves, end)
-                good = np.concatenate([[0], np.cumsum(total[last, c] - total[at, c] >= self.least[item])])
-                reach = -(-2 * len(self.words[item]) // HALF) + 1
-                m = mine[col == c]
-                lo, hi = np.maximum(p[m] - reach, start[p[m]]), np.minimum(p[m] + reach + 2, end[p[m]])
-                out[m] = good[hi] > good[lo]
+        out = np.empty(count.shape, bool)
+        size = np.array([len(w) for w in self.words])
+        for n in np.unique(size).tolist():  # items of one length at once
+            i = np.flatnonzero(size == n)
+            halves = -(-(n + n // 2 + 1) // HALF) + 1  # that a stretch can touch
+            mine = np.ascontiguousarray(total[:, i])
+            sums = mine[np.minimum(at + halves, end)] - mine[:-1]
+            good = np.zeros((len(row) + 1, len(i)), np.int32)
+            np.cumsum(sums >= self.least[i], axis=0, out=good[1:])
+            reach = -(-2 * n // HALF) + 1
+            out[:, i] = good[np.minimum(at + reach + 2, end)] > good[np.maximum(at - reach, start)]
+        return out
+
+    def word_by_word(self, dense: np.ndarray, row: np.ndarray, p: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """Which candidates (half passage p, item i) have a stretch of the
+        text around them with enough of the item's words."""
+        flat, out = dense.ravel(), np.zeros(len(p), bool)
+        first, last = np.searchsorted(row, row, "left") * HALF, np.searchsorted(row, row, "right") * HALF
+        for item in np.unique(i).tolist():
+            mine = np.flatnonzero(i == item)
+            reach, size = 2 * len(self.words[item]), int(self.stretch[item])
+            held = np.append(self.held[:, item], 0).astype(np.int32)
+            for k in range(0, len(mine), 4096):
+                m = mine[k:k + 4096]
+                at = (p[m] * HALF - reach)[:, None] + np.arange(2 * reach + 2 * HALF)
+                inside = (at >= first[p[m], None]) & (at < last[p[m], None])
+                word = np.where(inside, flat[np.clip(at, 0, len(flat) - 1)], -1)
+                total = np.zeros((len(m), at.shape[1] + 1), np.int32)
+                np.cumsum(held[word], axis=1, out=total[:, 1:])
+                size_here = min(size, at.shape[1])
+                out[m] = ((total[:, size_here:] - total[:, :-size_here]) >= self.least[item]).any(axis=1)
         return out
 
     def verdict(self, i: int, region: np.ndarray) -> tuple[float, float] | None:
@@ -336,26 +371,22 @@ def _search(table: DataFrame, words: np.ndarray, items: Items) -> DataFrame:
             whole = half.copy()
             whole[:-1][pair[:-1]] += half[1:][pair[:-1]]
             whole = _unit(whole)
-            near = [np.nonzero(whole[a:a + STEP] @ queries >= COSINE) for a in range(0, len(m), STEP)]
-            hit_p = np.concatenate([x + k * STEP for k, (x, _) in enumerate(near)])
-            hit_q = np.concatenate([y for _, y in near])
-            if not len(hit_p):
-                continue
-            # words of the query that the passage holds, each once
             dense = it.holds[m] * mask
-            both = np.zeros((len(m), 2 * HALF), np.int32)
-            both[:, :HALF] = dense
-            both[:-1, HALF:][pair[:-1]] = dense[1:][pair[:-1]]
-            both.sort(axis=1)
-            both[:, 1:][both[:, 1:] == both[:, :-1]] = 0
-            shared = np.zeros(len(hit_p), np.int16)
+            count = it.counts(dense)
+            both = count.copy()  # words of the whole passage that stand in the item
+            both[:-1][pair[:-1]] += count[1:][pair[:-1]]
+            may = it.within_reach(count, row)[:, it.query_item] & (both[:, it.query_item] >= it.need)
+            hit_p, hit_q = np.nonzero((whole @ queries >= COSINE) & may)
+            words = np.zeros((len(m), 2 * HALF), np.int32)
+            words[:, :HALF] = dense
+            words[:-1, HALF:][pair[:-1]] = dense[1:][pair[:-1]]
+            words.sort(axis=1)
+            words[:, 1:][words[:, 1:] == words[:, :-1]] = 0  # each word of the passage once
+            ok = np.zeros(len(hit_p), bool)
             for a in range(0, len(hit_p), 1 << 15):
                 p, q = hit_p[a:a + (1 << 15)], hit_q[a:a + (1 << 15)]
-                shared[a:a + (1 << 15)] = it.member[both[p], q[:, None]].sum(axis=1)
-            ok = shared >= it.need[hit_q]
-            if not ok.any():
-                continue
-            ok[ok] = it.near_enough(dense, row, hit_p[ok], it.query_item[hit_q[ok]])
+                ok[a:a + (1 << 15)] = it.held[words[p], it.query_item[q, None]].sum(axis=1, dtype=np.uint8) >= it.need[q]
+            ok[ok] = it.word_by_word(dense, row, hit_p[ok], it.query_item[hit_q[ok]])
             if not ok.any():
                 continue
             cos = np.einsum("ij,ij->i", whole[hit_p[ok]], queries[:, hit_q[ok]].T)
