@@ -22,7 +22,7 @@ from wardstat.operators.features import add_aggregate_features, add_target, enco
 from wardstat.operators.pivot import pivot_wide
 from wardstat.operators.quality import completeness, ingest_report, validate_features
 from wardstat.schemas import FEATURE_TABLE_COLUMNS, ID_COLUMNS, TARGET
-from wardstat.session import apply_query_settings, ensure_checkpoint_dir
+from wardstat.session import apply_query_settings, ensure_checkpoint_dir, scratch_dir
 from wardstat.sources.files import read_features, read_raw, write_parquet
 
 
@@ -54,12 +54,17 @@ def vocabulary_path(features_path: str) -> str:
 
 def build_features(spark: SparkSession, raw_path: str, out_path: str,
                    strict: bool = True) -> BuildResult:
+    """Build, validate, publish: the table is written apart and checked there,
+    so a build that fails leaves the published table as it was."""
     apply_query_settings(spark)
     ensure_checkpoint_dir(spark)
     raw = read_raw(spark, raw_path)
-    write_parquet(features_from_raw(raw, vocabulary_path(out_path)), out_path)
+    apart = scratch_dir(spark, "features-build")
+    write_parquet(features_from_raw(raw, vocabulary_path(apart)), apart)
+    rules = validate_features(read_features(spark, apart), strict=strict)
+    write_parquet(spark.read.parquet(vocabulary_path(apart)), vocabulary_path(out_path))
+    write_parquet(read_features(spark, apart), out_path)
     feats = read_features(spark, out_path)
-    rules = validate_features(feats, strict=strict)
     cols = [c for c in FEATURE_TABLE_COLUMNS if c not in ID_COLUMNS + [TARGET]]
     return BuildResult(features=feats, rules=rules, report=ingest_report(raw),
                        completeness=completeness(feats, cols),

@@ -1,8 +1,9 @@
 """Streaming scoring: request files -> validate -> score -> sinks.
 
 Each micro-batch runs the batch scoring plan inside `foreachBatch`; every
-output is keyed by the micro-batch id and written in overwrite mode, so a
-batch replayed after a failure replaces its own output (idempotent sinks).
+output is keyed by the stream's source and the micro-batch id and written in
+overwrite mode, so a batch replayed after a failure replaces its own output
+(idempotent sinks) and two streams may write to one place.
 The stream itself is stateless.
 """
 
@@ -30,9 +31,9 @@ def start_scoring_stream(spark: SparkSession, model: LoadedModel, source_dir: st
 
     def run_batch(df, batch_id: int) -> None:
         res = score_batch(spark, model, df, log_path=f"{out_dir}/log", batch_id=batch_id, source_id=source)
-        res.responses.write.mode("overwrite").parquet(f"{out_dir}/scored/batch_id={batch_id}")
-        res.rejected.write.mode("overwrite").parquet(f"{out_dir}/rejected/batch_id={batch_id}")
-        res.summary.write.mode("overwrite").parquet(f"{out_dir}/summary/batch_id={batch_id}")
+        own = f"source_id={source}/batch_id={batch_id}"
+        for name, rows in (("scored", res.responses), ("rejected", res.rejected), ("summary", res.summary)):
+            rows.write.mode("overwrite").parquet(f"{out_dir}/{name}/{own}")
         res.release()
 
     w = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint_dir)
