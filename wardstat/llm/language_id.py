@@ -167,8 +167,8 @@ def learn(labelled: DataFrame, per_lang: int = PER_LANG, per_doc: int = PER_DOC)
         return None
     lang = np.array(got.column(0).to_pylist())
     w = np.frombuffer(b"".join(got.column(1).to_pylist()), np.uint8).reshape(-1, WINDOW)
-    # an order of its own: rows arrive as partitions finish
-    order = np.lexsort([*w.T[::-1][-16:], lang])
+    # an order of its own, by all bytes: rows arrive as partitions finish
+    order = np.lexsort([*w.T[::-1], lang])
     lang, w = lang[order], w[order]
     labels, y = np.unique(lang, return_inverse=True)
     if len(labels) > MAX_LANGS:
@@ -176,11 +176,14 @@ def learn(labelled: DataFrame, per_lang: int = PER_LANG, per_doc: int = PER_DOC)
     return ByteCNN([str(x) for x in labels]).fit(w, y)
 
 
-def predict(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score -- one row per row of `docs`."""
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def predict(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text_col: str = "text",
+            carry: bool = False) -> DataFrame:
+    """doc_id, lang_pred, score -- one row per row of `docs`; with `carry`
+    also row, a struct of all columns of the input row."""
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                    *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []))
     if model is None:
-        return d.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return d.drop("text").withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
     d = d.withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     cache: list = []
 
@@ -197,13 +200,17 @@ def predict(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text
         p = np.exp(weight - weight.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         best = p.argmax(1)
-        ok = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+        ok = batch.column(batch.schema.get_field_index("letters")).to_numpy(zero_copy_only=False).astype(bool)
         names = np.array(model.labels, object)[best]
         names[~ok] = UNKNOWN
         return {"doc_id": batch.column(0), "lang_pred": names.tolist(),
-                "score": np.where(ok, p[np.arange(rows), best], 0.0)}
+                "score": np.where(ok, p[np.arange(rows), best], 0.0),
+                **({"row": batch.column(2)} if carry else {})}
 
-    return map_slices(d, run, "doc_id long, lang_pred string, score double", size=1 << 19)
+    schema = "doc_id long, lang_pred string, score double"
+    if carry:
+        schema += f", row {d.schema['row'].dataType.simpleString()}"
+    return map_slices(d, run, schema, size=1 << 19)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -214,7 +221,29 @@ def held_out(id_col: str = "doc_id"):
 def identify(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang") -> DataFrame:
     """Learn from the labelled rows that are not held out, predict every row."""
-    labelled = docs.where(~held_out(id_col)).select(
+    model = learn(_labelled(docs, id_col, text_col, lang_col))
+    return predict(docs, model, id_col, text_col).withColumn("held_out", held_out("doc_id"))
+
+
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    return docs.where(~held_out(id_col)).select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"))
-    return predict(docs, learn(labelled), id_col, text_col).withColumn("held_out", held_out("doc_id"))
+
+
+def recognised(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               lang_col: str = "lang") -> DataFrame:
+    """The rows of `docs`, unchanged, whose language is told better than by chance.
+
+    Decided row by row in the pass that predicts, without a join: of two rows
+    of one id only the one that is rejected goes. Rejected are texts that are
+    null or have no letter, and, with several learned languages, texts whose
+    best language is no likelier than one among that many. Without any label
+    no language is known and no row is left.
+    """
+    model = learn(_labelled(docs, id_col, text_col, lang_col))
+    keep = F.col("lang_pred") != UNKNOWN
+    if model is not None and len(model.labels) > 1:
+        keep = keep & (F.col("score") * len(model.labels) > 1 + 1e-6)
+    rows = predict(docs, model, id_col, text_col, carry=True).where(keep)
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
