@@ -13,28 +13,26 @@ from pyspark.sql import functions as F
 
 from wardstat.llm._store import keep
 from wardstat.llm.decontaminate import find_leaks
-from wardstat.llm.language_id import UNKNOWN, identify
+from wardstat.llm.language_id import recognised
 from wardstat.llm.line_dedup import dedup_lines
 from wardstat.llm.near_dedup import near_duplicates
 from wardstat.llm.packing import pack
 from wardstat.session import ensure_checkpoint_dir
 
-#: below this probability a prediction is no better than chance
-MIN_SCORE = 0.25
-
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go."""
-    bad = identify(spark, docs).where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < MIN_SCORE))
-    return _without(docs, bad)
+    """Rows without a recognisable language go: null texts, texts without a
+    letter, and texts that no learned language fits better than chance."""
+    return recognised(spark, docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many documents share go, except in one; n_chars follows the text."""
+    """Lines that many documents share go, except in one; n_chars follows the
+    text. A null text becomes an empty one."""
     out = dedup_lines(spark, docs)
     at = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return out.select(*[at.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
