@@ -568,3 +568,48 @@ def q_serving_vocabulary(spark, sf):
     vocab = spark.read.parquet(vocabulary_path(path))
     used = feats.select(FE.state_key().alias("state_key"), F.col("state_encoded").alias("trained")).distinct()
     return vocab.join(used, "state_key", "left").select("state_key", "state_encoded", "trained")
+
+
+def _committed_log(spark, sf):
+    """The log in three batches of two sources by commits; one batch was
+    logged with other scores first and is replaced by its replay."""
+    from wardstat.sources.log_table import LogTable
+    rows, table = log(spark, sf), LogTable(spark, scratch_dir(spark, "log-table"))
+    wrong = rows.withColumn("risk_score", F.lit(1.0)).withColumn("risk_level", F.lit("high"))
+    for source, batch, part, what in (("a", 1, 1, wrong), ("a", 0, 0, rows), ("a", 1, 1, rows), ("b", 1, 2, rows)):
+        table.append(what.where(F.col("id") % 3 == part), source, batch, by_time=True)
+    return table
+
+
+@query("committed_log_stats")
+def q_committed_log_stats(spark, sf):
+    """All-time totals from the partials of the live commits."""
+    from wardstat.sources.log_table import log_stats
+    return log_stats(_committed_log(spark, sf).partials())
+
+
+@query("committed_log_states")
+def q_committed_log_states(spark, sf):
+    """Rows and total score by state: the totals have four decimals, the means
+    lie on ties of the comparison's sixth."""
+    from wardstat.sources.log_table import state_stats
+    return state_stats(_committed_log(spark, sf).partials()).select(
+        "state", "n", F.round(F.col("mean_risk") * F.col("n"), 4).alias("score_total"))
+
+
+@query("committed_log_history")
+def q_committed_log_history(spark, sf):
+    """The newest rows, from the files whose bounds say that they can hold them."""
+    return MO.parse_features(_committed_log(spark, sf).newest(HISTORY_N)).drop(
+        "input_features", "features", "raw_features", "source_id", "batch_id")
+
+
+@query("committed_log_windows")
+def q_committed_log_windows(spark, sf):
+    """Daily totals kept by the stream of commits, before and after a replay."""
+    from wardstat.streaming.log_commits import current_windows, start_commit_stream
+    table, out, ck = _committed_log(spark, sf), scratch_dir(spark, "log-windows"), scratch_dir(spark, "log-windows-ckpt")
+    start_commit_stream(spark, table, out, ck).awaitTermination()
+    table.append(log(spark, sf).where("id % 3 = 2"), "b", 1, by_time=True)
+    start_commit_stream(spark, table, out, ck).awaitTermination()
+    return current_windows(spark, out)

@@ -455,6 +455,11 @@ def build() -> dict[str, str]:
         "CAST(count_if(risk_level = 'medium') AS BIGINT) AS medium_count, "
         "CAST(count_if(risk_level = 'low') AS BIGINT) AS low_count "
         "FROM log GROUP BY 1, 2")
+    q["committed_log_states"] = with_(LOG, "g AS (SELECT state, avg(risk_score) AS mean_risk, count(*) AS n FROM log "
+                                           "WHERE state IS NOT NULL GROUP BY state)") + (
+        "SELECT state, n, round(mean_risk * n, 4) AS score_total FROM (SELECT *, count(*) OVER () AS k FROM g) WHERE k >= 2")
+    for committed, same in (("stats", "prediction_stats"), ("history", "recent_predictions"), ("windows", "daily_risk")):
+        q[f"committed_log_{committed}"] = q[same]
     q["batch_summary"] = with_(LOG) + (
         "SELECT CAST(timestamp AS DATE) AS log_date, count(*) AS total, "
         "CAST(count_if(risk_level = 'high') AS BIGINT) AS high_risk_count, "

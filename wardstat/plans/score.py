@@ -28,6 +28,7 @@ from wardstat.operators.scoring import features_json, response_rows, tier_and_ro
 from wardstat.plans.model import LoadedModel, positive_probability, prepare
 from wardstat.schemas import ID_COLUMNS
 from wardstat.session import scratch_dir
+from wardstat.sources.log_table import LogTable
 
 log = logging.getLogger(__name__)
 
@@ -116,16 +117,28 @@ def append_log(rows: DataFrame, path: str) -> bool:
         return False
 
 
+def commit_log(rows: DataFrame, table: LogTable, source_id: str, batch_id: int) -> bool:
+    """One commit per batch; a replay replaces the batch's commit before."""
+    try:
+        table.append(rows, source_id, batch_id)
+        return True
+    except Exception:  # the log must never fail scoring
+        log.exception("prediction log commit failed")
+        return False
+
+
 def score_batch(spark: SparkSession, model: LoadedModel, requests: DataFrame,
                 log_path: str | None = None, results_path: str | None = None,
                 batch_id: int | None = None, clip: bool = False, strict: bool = False,
-                max_rows: int | None = None, source_id: str = "batch") -> BatchResult:
+                max_rows: int | None = None, source_id: str = "batch",
+                log_table: LogTable | None = None) -> BatchResult:
     """Score a request batch.
 
     `strict` refuses the whole batch when it is empty, above `max_rows`
     (MAX_BATCH unless given), or has an invalid row (the API's behaviour); by
     default invalid rows are returned in `rejected` and the rest is scored,
     with no size cap. To replay a batch, give its `source_id` and `batch_id`.
+    Rows are logged to the folder `log_path`, to `log_table` by a commit, or to both.
     """
     if strict:
         guard_batch(requests, MAX_BATCH if max_rows is None else max_rows)
@@ -137,12 +150,16 @@ def score_batch(spark: SparkSession, model: LoadedModel, requests: DataFrame,
     valid, rejected = split_requests(req)
     if strict and rejected.limit(1).count() > 0:
         raise ValidationError("batch has invalid rows")
-    if log_path:
+    if log_path or log_table:
         valid = features_json(valid)
     scored = tier_and_round(score_frame(model, valid)).persist(StorageLevel.MEMORY_AND_DISK)
-    if log_path:
+    if log_path or log_table:
         bid = new_batch_id() if batch_id is None else int(batch_id)
-        append_log(log_rows(scored, bid, model.version, source_id), log_path)
+        rows = log_rows(scored, bid, model.version, source_id)
+        if log_path:
+            append_log(rows, log_path)
+        if log_table:
+            commit_log(rows, log_table, source_id, bid)
     responses = response_rows(scored, model.version)
     if results_path:
         responses.write.mode("overwrite").parquet(results_path)

@@ -17,11 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 from wardstat.plans.model import LoadedModel
 from wardstat.plans.score import score_batch
 from wardstat.sources.files import request_text_schema, type_requests
+from wardstat.sources.log_table import LogTable
 
 
 def start_scoring_stream(spark: SparkSession, model: LoadedModel, source_dir: str, out_dir: str,
                          checkpoint_dir: str, available_now: bool = True,
-                         processing_time: str | None = None, source_id: str | None = None) -> StreamingQuery:
+                         processing_time: str | None = None, source_id: str | None = None,
+                         log_table: LogTable | None = None) -> StreamingQuery:
     """`source_id` names the stream in the log; by default it follows from the
     checkpoint folder, so a restarted stream replays under its own name and
     two streams that log to one place stay apart. Requests are read as text
@@ -30,7 +32,7 @@ def start_scoring_stream(spark: SparkSession, model: LoadedModel, source_dir: st
     stream = type_requests(spark.readStream.schema(request_text_schema()).json(source_dir))
 
     def run_batch(df, batch_id: int) -> None:
-        res = score_batch(spark, model, df, log_path=f"{out_dir}/log", batch_id=batch_id, source_id=source)
+        res = score_batch(spark, model, df, log_path=f"{out_dir}/log", batch_id=batch_id, source_id=source, log_table=log_table)
         own = f"source_id={source}/batch_id={batch_id}"
         for name, rows in (("scored", res.responses), ("rejected", res.rejected), ("summary", res.summary)):
             rows.write.mode("overwrite").parquet(f"{out_dir}/{name}/{own}")
