@@ -56,7 +56,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_dedup", near_dedup),
           ("decontaminate", decontaminate), ("packing", packing)]
 
-#: SQL cannot train a network or a latent space; tests/llm/test_pipeline.py
+#: SQL cannot train a network or a latent space; tests/llm/test_operators.py
 #: holds the rows against a brute-force version.
 ORACLE_SQL = None
 
