@@ -22,6 +22,7 @@ from wardstat.operators import pivot as P
 from wardstat.operators import quality as Q
 from wardstat.operators import ranking as R
 from wardstat.operators import scoring as S
+from wardstat.operators import semistructured as SS
 from wardstat.schemas import FEATURE_TABLE_COLUMNS, MODEL_FEATURES, TARGET
 from wardstat.plans.feature_build import features_from_raw, vocabulary_path
 from wardstat.session import apply_query_settings, scratch_dir
@@ -363,6 +364,41 @@ def q_parse_features(spark, sf):
                     F.col("features")["k"].alias("k_value"), "raw_features")
 
 
+def _nested_log(spark, sf):
+    """The log with nested, text, numeric and boolean features; some texts are cut short."""
+    whole = F.to_json(F.struct(
+        F.struct("state", "facility_name").alias("site"),
+        F.array("risk_score", F.round(F.lit(1.0) - F.col("risk_score"), 4)).alias("scores"),
+        F.col("facility_id").alias("code"),
+        F.when(F.col("id") % 2 == 0, F.col("risk_score")).alias("score"),
+        (F.col("id") % 3 == 0).alias("flag")))
+    cut = F.concat(F.lit('{"code": "'), F.col("facility_id"))
+    return log(spark, sf).withColumn("input_features", F.when(F.col("id") % 97 == 0, cut).otherwise(whole))
+
+
+def _decoded_log(spark, sf):
+    out = scratch_dir(spark, "decoded-log")
+    FI.write_parquet(SS.decode_features(_nested_log(spark, sf)).drop("input_features"), out)
+    return spark.read.parquet(out)
+
+
+@query("decoded_features")
+def q_decoded_features(spark, sf):
+    """Values of every shape, read back from the stored VARIANT."""
+    value = SS.feature_value
+    return _decoded_log(spark, sf).select(
+        "id", F.col("features_ok").alias("ok"), value("$.site.state", "string").alias("site_state"),
+        value("$.scores[1]").alias("second_score"), value("$.score").alias("score"),
+        value("$.code", "string").alias("code"), value("$.flag", "boolean").alias("flag"),
+        F.when(~F.col("features_ok"), value("$", "string")).alias("text"))
+
+
+@query("feature_profile")
+def q_feature_profile(spark, sf):
+    """Kinds and ranges of the logged features by key."""
+    return SS.feature_profile(SS.feature_rows(_decoded_log(spark, sf), ["id"]))
+
+
 @query("score_series")
 def q_score_series(spark, sf):
     return MO.score_series(log(spark, sf))

@@ -426,6 +426,21 @@ def build() -> dict[str, str]:
         f"SELECT id, {ok} AS parsed_ok, "
         f"round(CASE WHEN {ok} THEN CAST(json_extract(CASE WHEN json_valid(input_features) THEN input_features END, '$.k') AS DOUBLE) END, 6) AS k_value, "
         f"CASE WHEN NOT {ok} THEN input_features END AS raw_features FROM log")
+    whole = "id % 97 <> 0"
+    second = "round(1 - risk_score, 4)"
+    q["decoded_features"] = with_(LOG) + (
+        f"SELECT id, {whole} AS ok, CASE WHEN {whole} THEN state END AS site_state, "
+        f"CASE WHEN {whole} THEN round({second}, 6) END AS second_score, "
+        f"CASE WHEN {whole} AND id % 2 = 0 THEN round(risk_score, 6) END AS score, "
+        f"CASE WHEN {whole} THEN facility_id END AS code, CASE WHEN {whole} THEN id % 3 = 0 END AS flag, "
+        f"CASE WHEN NOT ({whole}) THEN '{{\"code\": \"' || facility_id END AS text FROM log")
+    kinds = {"site": "object", "scores": "array", "code": "text", "flag": "boolean"}
+    q["feature_profile"] = with_(LOG) + " UNION ALL ".join(
+        [f"SELECT '{k}' AS key, '{kind}' AS kind, count(*) AS n, CAST(NULL AS DOUBLE) AS mean_value, "
+         f"CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value FROM log WHERE {whole} HAVING count(*) > 0"
+         for k, kind in kinds.items()]
+        + ["SELECT 'score', 'number', count(*), round(avg(risk_score), 6), round(min(risk_score), 6), "
+           f"round(max(risk_score), 6) FROM log WHERE {whole} AND id % 2 = 0 AND risk_score IS NOT NULL HAVING count(*) > 0"])
     q["score_series"] = with_(LOG) + (
         f"SELECT timestamp, round(risk_score, 6) AS risk_score, CAST(round(CAST(risk_score AS DECIMAL(20,10)) * 100, 1) AS DOUBLE) AS risk_pct, "
         f"{tier('risk_score')} AS band FROM log ORDER BY timestamp")
