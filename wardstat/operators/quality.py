@@ -49,16 +49,15 @@ def with_weight(train: DataFrame, weight: float, label: str = TARGET,
     return train.withColumn(name, F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(F.lit(1.0)))
 
 
-def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Percentage of non-null values per column, in one pass.
+def completeness_metrics(columns: list[str]) -> dict[str, Column]:
+    """Row count and one `count(c)` per column, by name of the aggregate."""
+    return {"_total": F.count(F.lit(1)), **{f"_nn_{i}": F.count(F.col(c)) for i, c in enumerate(columns)}}
 
-    One `agg` of `count(c)` per column, then `stack` turns the single wide
-    row into (column_name, non_null, total, pct_non_null) rows.
-    """
-    agg = df.agg(F.count(F.lit(1)).alias("_total"),
-                 *[F.count(F.col(c)).alias(f"_nn_{i}") for i, c in enumerate(columns)])
+
+def completeness_table(one: DataFrame, columns: list[str]) -> DataFrame:
+    """The single row of `completeness_metrics` as one row per column."""
     pairs = ", ".join(f"'{c}', _nn_{i}" for i, c in enumerate(columns))
-    stacked = agg.selectExpr("_total", f"stack({len(columns)}, {pairs}) AS (column_name, non_null)")
+    stacked = one.selectExpr("_total", f"stack({len(columns)}, {pairs}) AS (column_name, non_null)")
     return stacked.select(
         "column_name",
         F.col("non_null").cast("long").alias("non_null"),
@@ -68,54 +67,78 @@ def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def feature_rules(df: DataFrame, key_columns: list[str] = FEATURE_KEY_COLUMNS,
-                  range_rules: dict[str, tuple[float, float]] = FEATURE_RANGE_RULES,
-                  label: str = TARGET) -> DataFrame:
-    """Rule table `rule, column_name, observed, lo, hi, ok` from one aggregation.
+def completeness(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Percentage of non-null values per column, in one pass.
 
-    Rules: no NULL in each key column; min and max of each ranged column
-    within bounds (ranged columns absent from `df` are skipped); label in
-    {0, 1}. An absent key or label column raises.
+    One `agg` of `count(c)` per column, then `stack` turns the single wide
+    row into (column_name, non_null, total, pct_non_null) rows.
     """
-    have = set(df.columns)
-    absent = [c for c in [*key_columns, label] if c not in have]
+    return completeness_table(df.agg(*[c.alias(n) for n, c in completeness_metrics(columns).items()]), columns)
+
+
+def _rules(columns: list[str], key_columns: list[str], range_rules: dict[str, tuple[float, float]],
+           label: str) -> list[tuple[str, str, str, Column, float, float]]:
+    """(rule, column, name of the aggregate, aggregate, lo, hi) for a table of these columns."""
+    absent = [c for c in [*key_columns, label] if c not in columns]
     if absent:
         raise ValidationError(f"feature table has no column {', '.join(absent)}")
-    aggs: list[Column] = []
-    rows: list[tuple[str, str, str, float, float]] = []
-    for c in key_columns:
-        if c in have:
-            aggs.append(F.count_if(F.col(c).isNull()).cast("double").alias(f"_null_{c}"))
-            rows.append(("not_null", c, f"_null_{c}", 0.0, 0.0))
+    out = [("not_null", c, f"_null_{c}", F.count_if(F.col(c).isNull()), 0.0, 0.0) for c in key_columns]
     for c, (lo, hi) in range_rules.items():
-        if c not in have:
-            continue
-        aggs.append(F.min(F.col(c)).cast("double").alias(f"_min_{c}"))
-        aggs.append(F.max(F.col(c)).cast("double").alias(f"_max_{c}"))
-        rows.append(("min_in_range", c, f"_min_{c}", lo, hi))
-        rows.append(("max_in_range", c, f"_max_{c}", lo, hi))
-    if label in have:
-        aggs.append(F.count_if(~F.col(label).isin(0, 1) | F.col(label).isNull())
-                    .cast("double").alias("_bad_label"))
-        rows.append(("label_binary", label, "_bad_label", 0.0, 0.0))
-    one = df.agg(*aggs)
+        if c in columns:
+            out += [("min_in_range", c, f"_min_{c}", F.min(F.col(c)), lo, hi),
+                    ("max_in_range", c, f"_max_{c}", F.max(F.col(c)), lo, hi)]
+    bad_label = F.count_if(~F.col(label).isin(0, 1) | F.col(label).isNull())
+    return [*out, ("label_binary", label, "_bad_label", bad_label, 0.0, 0.0)]
+
+
+def rule_metrics(df: DataFrame, key_columns: list[str] = FEATURE_KEY_COLUMNS,
+                 range_rules: dict[str, tuple[float, float]] = FEATURE_RANGE_RULES,
+                 label: str = TARGET) -> dict[str, Column]:
+    """What the rules look at, by name: aggregates for `agg` or `observe`."""
+    return {name: agg.cast("double") for _, _, name, agg, _, _ in _rules(df.columns, key_columns, range_rules, label)}
+
+
+def rule_table(one: DataFrame, columns: list[str], key_columns: list[str] = FEATURE_KEY_COLUMNS,
+               range_rules: dict[str, tuple[float, float]] = FEATURE_RANGE_RULES,
+               label: str = TARGET) -> DataFrame:
+    """The single row of `rule_metrics` as one row per rule."""
+    rows = _rules(columns, key_columns, range_rules, label)
     entries = ", ".join(f"'{r}', '{c}', {a}, CAST({lo} AS DOUBLE), CAST({hi} AS DOUBLE)"
-                        for r, c, a, lo, hi in rows)
+                        for r, c, a, _, lo, hi in rows)
     table = one.selectExpr(f"stack({len(rows)}, {entries}) AS (rule, column_name, observed, lo, hi)")
     ok = F.col("observed").isNotNull() & (F.col("observed") >= F.col("lo")) & (F.col("observed") <= F.col("hi"))
     return table.withColumn("ok", ok)
 
 
+def feature_rules(df: DataFrame, key_columns: list[str] = FEATURE_KEY_COLUMNS,
+                  range_rules: dict[str, tuple[float, float]] = FEATURE_RANGE_RULES,
+                  label: str = TARGET) -> DataFrame:
+    """Rule table `rule, column_name, observed, lo, hi, ok` from one aggregation.
+
+    Rules: no NULL in each key column; min and max of each ranged column
+    within bounds (ranged columns absent from `df` are skipped); label in
+    {0, 1}. An absent key or label column raises.
+    """
+    given = (key_columns, range_rules, label)
+    one = df.agg(*[c.alias(n) for n, c in rule_metrics(df, *given).items()])
+    return rule_table(one, df.columns, *given)
+
+
+def raise_failed(rules: DataFrame) -> None:
+    """Raise if a rule of the table does not hold (only the rule rows, at most
+    a few dozen, come to the driver)."""
+    failed = [r for r in rules.collect() if not r["ok"]]
+    if failed:
+        msg = "; ".join(f"{r['rule']}({r['column_name']}) observed={r['observed']} "
+                        f"bounds=[{r['lo']}, {r['hi']}]" for r in failed)
+        raise ValidationError(f"feature validation failed: {msg}")
+
+
 def validate_features(df: DataFrame, strict: bool = True) -> DataFrame:
-    """Rule table; in strict mode raise when a rule fails (only the rule
-    rows, at most a few dozen, come to the driver)."""
+    """Rule table; in strict mode raise when a rule fails."""
     rules = feature_rules(df)
     if strict:
-        failed = [r for r in rules.collect() if not r["ok"]]
-        if failed:
-            msg = "; ".join(f"{r['rule']}({r['column_name']}) observed={r['observed']} "
-                            f"bounds=[{r['lo']}, {r['hi']}]" for r in failed)
-            raise ValidationError(f"feature validation failed: {msg}")
+        raise_failed(rules)
     return rules
 
 

@@ -206,6 +206,24 @@ def q_feature_build(spark, sf):
     return build_features(spark, raw_path, out_path).features
 
 
+def _written_features(spark, sf):
+    from wardstat.sources.checked import write_observed
+    cols = [c for c in FEATURE_TABLE_COLUMNS if c not in ("facility_id", "facility_name", "state", TARGET)]
+    return write_observed(features(spark, sf), scratch_dir(spark, "features"), cols)
+
+
+@query("observed_rules")
+def q_observed_rules(spark, sf):
+    """The rule table as measured by the job that writes the features."""
+    return _written_features(spark, sf).rules
+
+
+@query("observed_completeness")
+def q_observed_completeness(spark, sf):
+    """Non-null counts as measured by the job that writes the features."""
+    return _written_features(spark, sf).completeness
+
+
 @query("model_input")
 def q_model_input(spark, sf):
     return FE.model_input(features(spark, sf))

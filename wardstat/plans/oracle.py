@@ -364,6 +364,8 @@ def build() -> dict[str, str]:
         "SELECT rule, column_name, round(observed, 6) AS observed, round(lo, 6) AS lo, round(hi, 6) AS hi, "
         "(observed IS NOT NULL AND observed >= lo AND observed <= hi) AS ok FROM rules")
 
+    q["observed_rules"], q["observed_completeness"] = q["validate_features"], q["completeness"]
+
     req_cols = ID_COLUMNS + MEASURE_FEATURES
     reqd = set(MEASURE_FEATURES)
     q["scorable_rows"] = with_(RAW, COERCED, CLEAN, WIDE, REQ) + (

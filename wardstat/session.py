@@ -87,6 +87,27 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
 
 
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder `source` at `target` by renames: what lies there is set
+    aside first, deleted once the new one is in place, and put back if the
+    rename fails. Both must lie in one file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new, old = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}-replaced-{uuid.uuid4().hex[:12]}")
+    fs = old.getFileSystem(conf)
+    had = bool(fs.exists(old))
+    if not had and old.getParent() is not None:
+        fs.mkdirs(old.getParent())
+    if had and not fs.rename(old, aside):
+        raise OSError(f"cannot set {target} aside")
+    if not fs.rename(new, old):
+        if had:
+            fs.rename(aside, old)
+        raise OSError(f"cannot move {source} to {target}")
+    if had:
+        fs.delete(aside, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of `path` (works for any scheme)."""
     jvm = spark.sparkContext._jvm
