@@ -34,6 +34,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
 DIGITS = 6
+PAGE_FOLDER_ROWS = 20_000  # rows of a folder of pages
 CAPPED_ROWS = 1200
 DRIFT_UNTIL = "2024-01-08 00:00:00"
 SAMPLE_N = 100
@@ -109,8 +110,7 @@ def q_scan_raw(spark, sf):
 def q_ingest_pages(spark, sf):
     """Land the raw rows as paged JSON, read them back through the page source."""
     out = scratch_dir(spark, "pages")
-    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), out, ["l_orderkey", "l_linenumber"],
-                  keys=spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey"))
+    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), out, ["l_orderkey", "l_linenumber"])
     return PG.read_pages(spark, out)
 
 
@@ -118,11 +118,43 @@ def q_ingest_pages(spark, sf):
 def q_ingest_capped(spark, sf):
     """Page source with a row cap: whole pages below the cap."""
     out = scratch_dir(spark, "pages")
-    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), out, ["l_orderkey", "l_linenumber"],
-                  keys=spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey"))
+    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), out, ["l_orderkey", "l_linenumber"])
     return PG.read_pages(spark, out, max_rows=CAPPED_ROWS)
 
 
+def _page_source(spark, sf):
+    """Name of the page data source and a folder of landed pages."""
+    from wardstat.sources.page_source import register_page_source
+    out = scratch_dir(spark, "pages")
+    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), out, ["l_orderkey", "l_linenumber"], folder_rows=PAGE_FOLDER_ROWS)
+    return register_page_source(spark), out
+
+
+@query("page_source")
+def q_page_source(spark, sf):
+    """All landed rows through the page data source."""
+    name, out = _page_source(spark, sf)
+    return spark.read.format(name).load(out).drop("offset")
+
+
+@query("page_source_capped")
+def q_page_source_capped(spark, sf):
+    """The page data source under a cap: folders beyond it are not opened."""
+    name, out = _page_source(spark, sf)
+    return spark.read.format(name).option("max_rows", CAPPED_ROWS).load(out).drop("offset")
+
+
+@query("page_source_stream")
+def q_page_source_stream(spark, sf):
+    """A capped stream of the page source, then the same one resumed without a cap."""
+    name, pages = _page_source(spark, sf)
+    out, ck = scratch_dir(spark, "page-stream"), scratch_dir(spark, "page-stream-ckpt")
+    for cap in ({"max_rows": CAPPED_ROWS}, {}):
+        (spark.readStream.format(name).options(**cap).load(pages).drop("offset").writeStream.format("parquet")
+         .option("path", out).option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(out)
+
+
 @query("score_csv")
 def q_score_csv(spark, sf):
     """Request batch written as CSV and read back with the request schema."""
@@ -579,8 +611,7 @@ def q_ingest_stream(spark, sf):
     """Pages landed from the raw rows, ingested by the incremental stream."""
     from wardstat.streaming.ingest import ingest_pages
     land = scratch_dir(spark, "landing")
-    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), land, ["l_orderkey", "l_linenumber"],
-                  keys=spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey"))
+    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), land, ["l_orderkey", "l_linenumber"])
     out, ck = scratch_dir(spark, "ingested"), scratch_dir(spark, "ingest-ckpt")
     ingest_pages(spark, land, out, ck)
     return spark.read.parquet(out)
@@ -591,8 +622,7 @@ def q_ingest_capped_then_full(spark, sf):
     """A capped trial run, then the full ingest of the same pages: nothing is lost."""
     from wardstat.streaming.ingest import ingest_pages
     land = scratch_dir(spark, "landing")
-    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), land, ["l_orderkey", "l_linenumber"],
-                  keys=spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey"))
+    PG.land_pages(D.hrrp_raw(spark, sf, with_order_keys=True), land, ["l_orderkey", "l_linenumber"])
     out, ck = scratch_dir(spark, "ingested"), scratch_dir(spark, "ingest-ckpt")
     ingest_pages(spark, land, out, ck, max_rows=CAPPED_ROWS)
     ingest_pages(spark, land, out, ck)

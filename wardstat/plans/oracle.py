@@ -291,6 +291,8 @@ def build() -> dict[str, str]:
     q["ingest_capped"] = with_(RAW) + (
         f"SELECT {raw_cols} FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS rn FROM raw) "
         f"WHERE ((rn - 1) // 500) * 500 < 1200")
+    q["page_source"] = q["page_source_stream"] = q["scan_raw"]
+    q["page_source_capped"] = q["ingest_capped"]
     q["coerce_numeric"] = with_(RAW, COERCED) + f"SELECT {sel(RAW_FIELDS, set(RAW_NUMERIC))} FROM coerced"
     q["known_measures"] = with_(RAW) + f"SELECT {raw_cols} FROM raw WHERE measure_name IN ({MEASURE_IN})"
     q["measure_short"] = with_(RAW, COERCED, CLEAN) + (

@@ -108,6 +108,18 @@ def replace_path(spark: SparkSession, source: str, target: str) -> None:
         fs.delete(aside, True)
 
 
+def move_children(spark: SparkSession, source: str, target: str, prefix: str) -> None:
+    """Move the entries of `source` whose names begin with `prefix` to `target`."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = old.getFileSystem(conf)
+    fs.mkdirs(new)
+    for status in fs.listStatus(old):
+        name = status.getPath().getName()
+        if name.startswith(prefix) and not fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(new, name)):
+            raise OSError(f"cannot move {source}/{name} to {target}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem of `path` (works for any scheme)."""
     jvm = spark.sparkContext._jvm

@@ -11,19 +11,11 @@ from __future__ import annotations
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from wardstat.schemas import PAGE_SCHEMA, RAW_FIELDS, RAW_SCHEMA
+from wardstat.schemas import PAGE_SCHEMA, RAW_SCHEMA
 from wardstat.session import delete_path, path_exists
-
-
-def page_rows(pages: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Stream (or batch) of page payloads -> raw rows; the optional cap
-    keeps whole pages whose offset is below it."""
-    if max_rows is not None:
-        pages = pages.filter(F.col("offset") < F.lit(int(max_rows)))
-    return pages.select(F.explode("results").alias("r")).select(*[F.col(f"r.{c}") for c in RAW_FIELDS])
+from wardstat.sources.pages import page_rows
 
 
 def capped(path: str, max_rows: int | None) -> str:
