@@ -15,7 +15,7 @@ from wardstat.plans.catalog import QUERIES  # noqa: E402
 from wardstat.session import build_session  # noqa: E402
 
 NAMES = ["pivot_wide", "feature_table", "stratified_split", "roc_auc", "recent_predictions",
-         "risk_distribution", "normalise_scores", "daily_risk"]
+         "risk_distribution", "normalise_scores", "daily_risk", "decoded_features", "feature_profile", "ingest_capped"]
 
 
 NOTES = """What to look for:
@@ -34,6 +34,11 @@ NOTES = """What to look for:
 * `recent_predictions`: `TakeOrderedAndProject`, no full sort.
 * `normalise_scores`: per-batch range aggregated then joined back on the
   batch key (broadcast here by AQE; skew split otherwise).
+* `decoded_features`, `feature_profile`: the stored VARIANT is read as it is;
+  features are unfolded by a `Generate`, and the only exchange follows a partial
+  aggregation by key and kind.
+* `ingest_capped`: a partition filter on `first` (cut off here; a plan test has it)
+  leaves out folders beyond the cap.
 """
 
 
