@@ -128,3 +128,32 @@ def test_options_and_awkward_pages(spark, tmp):
     with pytest.raises(Exception, match="max_rows"):
         spark.read.format(name).option("max_rows", -1).load(f"{tmp}/p").count()
     assert len(PageReader(f"{tmp}/p", None).partitions()) == 1
+
+
+def test_compressed_pages_are_read_by_every_source(spark, tmp):
+    """The same rows in far fewer bytes, through Spark's reader, the page source and its stream."""
+    size = {}
+    for codec in (None, "gzip"):
+        land_pages(rows(spark, 3000), f"{tmp}/{codec}", ORDER, page_size=50, folder_rows=1000, codec=codec)
+        files = [f"{d}/{f}" for d, _, fs in os.walk(f"{tmp}/{codec}") for f in fs if ".json" in f and not f.endswith(".crc")]
+        assert files and all(f.endswith(".gz") == (codec is not None) for f in files)
+        size[codec] = sum(map(os.path.getsize, files))
+    assert 5 * size["gzip"] < size[None]
+    path, want = f"{tmp}/gzip", list(map(str, range(3000)))
+    name = register_page_source(spark)
+    assert sorted(r.facility_name for r in read_pages(spark, path).collect()) == sorted(want)
+    assert sorted(r.facility_name for r in spark.read.format(name).load(path).collect()) == sorted(want)
+    assert spark.read.format(name).option("max_rows", 60).load(path).count() == 100
+    (spark.readStream.format(name).load(path).writeStream.format("parquet").option("path", f"{tmp}/out")
+     .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start().awaitTermination())
+    assert sorted(r.facility_name for r in spark.read.parquet(f"{tmp}/out").collect()) == sorted(want)
+
+
+def test_landing_queries_write_compressed_pages(spark, tmp, monkeypatch):
+    from wardstat.plans import catalog
+    seen = []
+    land = catalog.PG.land_pages
+    monkeypatch.setattr(catalog.PG, "land_pages", lambda *a, **k: seen.append(k.get("codec")) or land(*a, **k))
+    for q in ("ingest_pages", "page_source", "ingest_stream"):
+        catalog.QUERIES[q](spark, "/root/testdata/sf0.001")
+    assert seen == ["gzip"] * 3

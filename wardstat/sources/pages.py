@@ -3,7 +3,9 @@
 A page payload is `{"offset": o, "count": total, "results": [row, ...]}`
 with at most PAGE_SIZE rows. Pages are stored one JSON document per line
 (splittable; `multi_line=True` reads one pretty-printed document per file
-instead). Reading is a schema-declared JSON scan and an `explode`.
+instead). Reading is a schema-declared JSON scan and an `explode`. Pages say
+every field's name in every row, so a `codec` makes them many times smaller;
+such a file is read by one task, and holds no more than its folder.
 
 Landed pages lie in folders `first=<offset>/end=<offset>` of consecutive
 pages, so a cap on the rows leaves out whole folders by their names.
@@ -91,8 +93,9 @@ def _mended(runs: DataFrame, page_size: int) -> DataFrame:
 
 
 def land_pages(rows: DataFrame, out_dir: str, order_by: list[str], page_size: int = PAGE_SIZE,
-               folder_rows: int = FOLDER_ROWS, start: int = 0) -> str:
-    """Write page payloads as JSON lines below `out_dir`. With `start` (a
+               folder_rows: int = FOLDER_ROWS, start: int = 0, codec: str | None = None) -> str:
+    """Write page payloads as JSON lines below `out_dir`, compressed by `codec`
+    (as Spark's JSON writer names it, "gzip" say) if there is one. With `start` (a
     multiple of the page size) the pages are added after those that are there;
     without, they replace them.
 
@@ -113,7 +116,7 @@ def land_pages(rows: DataFrame, out_dir: str, order_by: list[str], page_size: in
         (pages.select((F.col("offset") + start).alias("offset"), F.lit(total + start).cast("long").alias("count"), "results",
                       F.when(whole, first + start).otherwise(-1).alias("first"),
                       F.when(whole, end + start).otherwise(-1).alias("end"))
-         .write.mode(mode).partitionBy("first", "end").json(staged))
+         .write.mode(mode).partitionBy("first", "end").json(staged, compression=codec))
 
     runs = ordered.mapInArrow(_cut(page_size), RUN_SCHEMA).withColumnRenamed("at", "offset")
     size = F.size("results")
