@@ -164,3 +164,40 @@ def test_cut_points(spark):
 @pytest.mark.parametrize("alpha, want", [(0.0, -2.0), (1.0, -1.5), (9.0, 0.0)])
 def test_leaf_weight(alpha, want):
     assert B.leaf_weight(4.0, 1.0, B.BoostParams(reg_alpha=alpha, reg_lambda=1.0)) == want
+
+
+def test_what_a_task_hands_on_does_not_grow_with_its_rows(spark, monkeypatch):
+    """One array of sums a node, whatever the blocks; more nodes than `HELD` allows take several jobs."""
+    x, y, w, fold = data()
+    cuts = all_cuts(x)
+    slots = np.array([len(c) + 2 for c in cuts])
+    trees = [B._Growing(B.Spec(CASES[0]), 0, 0, 3)]
+    sizes = []
+    for copies in (1, 40):
+        packed = B.pack(frame(spark, x, y, w, fold, 1), FEATURES, cuts, rows=64).toArrow().combine_chunks().to_batches()[0]
+        level = B._Level([(0, trees[0], [0])], slots, 1)
+        (_, _, entry, g, h), = level.histograms(B._blocks([packed] * copies, 3))
+        sizes.append((len(entry), int(g.sum()) / copies, int(h.sum()) / copies))
+    assert sizes[0] == sizes[1] and sizes[0][0] <= slots.sum()
+    whole, _, _ = grow(spark, [B.Spec(CASES[0])], x, y, w, fold, cuts)
+    monkeypatch.setattr(B, "HELD", 2 * int(slots.sum()))
+    trees[0].active = [3, 4, 5]
+    assert [[nodes for _, _, nodes in job] for job in B._jobs(trees * 2, int(slots.sum()))] == [[[3, 4]], [[5], [3]], [[4, 5]]]
+    cut, _, _ = grow(spark, [B.Spec(CASES[0])], x, y, w, fold, cuts)
+    assert cut[0].to_json() == whole[0].to_json()
+
+
+def test_blocks_are_filled_over_batches(spark):
+    """Arrow batches smaller than a block do not cut it, and many models make it smaller."""
+    x, y, w, fold = data()
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = frame(spark, x, y, w, fold, 1)
+        got = B.pack(rows, FEATURES, all_cuts(x), rows=150).collect()
+        many = B.pack(rows, FEATURES, all_cuts(x), B.BLOCK_MARGINS // 100).select("n").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [r["n"] for r in got] == [150, 150, 100] and [r["n"] for r in many] == [100] * 4
+    keys = np.concatenate([np.frombuffer(r["key"], np.int64) for r in got])
+    assert sorted(keys.tolist()) == [i * 7919 for i in range(400)]
