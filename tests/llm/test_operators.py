@@ -6,12 +6,14 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.conftest import SF001, SF01
-from wardstat.llm import (decontaminate, language_id, license_scan, line_dedup, near_dedup, packing, passage_dedup,
+from wardstat.llm import (_text, decontaminate, language_id, license_scan, line_dedup, near_dedup, packing, passage_dedup,
                           quality_rules, suffix_dedup, toxicity)
 from wardstat.llm._graph import components
+from wardstat.llm._text import buffer_of
 from wardstat.llm.queries import QUERIES
 
 DOC = "doc_id long, text string"
@@ -262,6 +264,49 @@ def test_lcs():
         assert decontaminate.lcs(a, b) == t[-1][-1]
 
 
+def test_lcs_with_places_of_the_item():
+    rng = random.Random(2)
+    for _ in range(20):
+        a, b = ([rng.randrange(6) for _ in range(rng.randrange(1, 20))] for _ in range(2))
+        assert decontaminate.lcs(a, b, decontaminate.places(a)) == decontaminate.lcs(a, b)
+
+
+def test_sums_of_short_and_long_runs(monkeypatch):
+    rng = np.random.default_rng(4)
+    y, n = rng.normal(size=(50, 3)).astype(np.float32), np.array([1, 300, 2, 24, 23, 1, 77])
+    at, first = rng.integers(0, 50, n.sum()), np.cumsum(n) - n
+    got = decontaminate._sum_runs(y, at, first)
+    assert np.allclose(got, [y[at[a:a + k]].sum(axis=0) for a, k in zip(first, n)], atol=1e-4)
+
+
+def test_words_are_hashed_once(monkeypatch):
+    """A word with punctuation at its ends has the id of the word without; one pass over the bytes."""
+    calls, real = [], _text.prefix_hash
+    monkeypatch.setattr(_text, "prefix_hash", lambda *a, **k: calls.append(1) or real(*a, **k))
+    monkeypatch.setattr(decontaminate, "prefix_hash", _text.prefix_hash, raising=False)
+    ids, first = decontaminate.word_ids(*buffer_of(pa.array(["Cat, (dog) ... \u00e9!", "", 'cat dog . "((\u00e9))"'])))
+    assert first.tolist() == [0, 4, 4, 8] and ids[:4].tolist() == ids[4:].tolist() and len(calls) == 1
+
+
+@pytest.mark.parametrize("words", (20, (1 << 14) - 1, 1 << 14))
+def test_stretches_within_reach(words):
+    """Sums that wrap around find the stretches that plain sums find."""
+    rng = np.random.default_rng(7)
+    it = decontaminate.Items([1, 2], [np.arange(1, words + 1), np.arange(5, 25)], [None, None])
+    m = rng.integers(1, 60, (600, decontaminate.HALF)).astype(np.uint16) if words == 20 else (
+        np.arange(6000 * decontaminate.HALF).reshape(-1, decontaminate.HALF) % (words + 9000)).astype(np.uint16)
+    row = np.sort(rng.integers(0, 3, len(m)))
+    count = it.counts(it.holds[m])
+    got = it.within_reach(count, row)
+    for i, w in enumerate(it.words):
+        halves, reach = -(-(len(w) + len(w) // 2 + 1) // decontaminate.HALF) + 1, -(-2 * len(w) // decontaminate.HALF) + 1
+        total = np.concatenate([[0], np.cumsum(count[:, i], dtype=np.int64)])
+        for p in range(0, len(m), 7):
+            a, b = np.searchsorted(row, row[p], "left"), np.searchsorted(row, row[p], "right")
+            at = np.arange(max(a, p - reach), min(b, p + reach + 2))
+            assert got[p, i] == (total[np.minimum(at + halves, b)] - total[at] >= it.least[i]).any()
+
+
 def test_query_finds_every_verbatim_item(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()
     items = spark.read.parquet(f"{SF01}/benchmark.parquet").collect()

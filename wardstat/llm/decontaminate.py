@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstat.llm._store import keep
-from wardstat.llm._text import Words, buffer_of, id_text, map_slices, prefix_hash, span_hash
+from wardstat.llm._text import Words, buffer_of, id_text, map_slices, span_hash
 
 IDS = 1 << 16
 RANK = 48
@@ -49,6 +49,7 @@ COSINE, SHARED = 0.2, 0.5
 VERBATIM, PARAPHRASE, ANSWER = 0.9, 0.7, 0.5
 TASK_BYTES = 32 << 20     # word ids that a task adds up
 FAN = 64                  # partial sums that meet in one group
+LONG = 24                 # rows of a run that is summed by a product
 BLOCKS = 64               # row blocks in which partial sums travel
 
 _PUNCT = np.zeros(256, bool)
@@ -58,12 +59,15 @@ _PUNCT[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 def word_ids(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """16-bit id of every word, and the first word of each row."""
     w = Words(buf, off, lower=True)
-    s, e = w.start.copy(), w.end.copy()
-    for _ in range(3):
-        s += _PUNCT[buf[np.minimum(s, len(buf) - 1)]] & (e - s > 1) if len(s) else 0
-        e -= _PUNCT[buf[e - 1]] & (e - s > 1) if len(s) else 0
-    h = span_hash(prefix_hash(buf, True), s, e)
-    return (h >> np.uint64(48)).astype(np.uint16), w.first
+    mark = _PUNCT[buf]
+    at = np.flatnonzero(mark[w.start] | mark[w.end - 1])  # few words have one; the others keep their hash
+    if len(at):
+        s, e = w.start[at], w.end[at]
+        for _ in range(3):
+            s += mark[s] & (e - s > 1)
+            e -= mark[e - 1] & (e - s > 1)
+        w.hash[at] = span_hash(w.prefix, s, e)
+    return (w.hash >> np.uint64(48)).astype(np.uint16), w.first
 
 
 def id_table(docs: DataFrame) -> DataFrame:
@@ -176,7 +180,7 @@ def latent_space(table: DataFrame, idf: np.ndarray, rank: int = RANK, seed: int
         f = f[order]
         cut = np.flatnonzero(np.r_[True, f[1:] != f[:-1]]) if len(f) else np.zeros(0, np.int64)
         if len(cut):
-            acc[f[cut]] += _sum_runs(y[p[order]], cut) * weight.value[f[cut], None]
+            acc[f[cut]] += _sum_runs(y, p[order], cut) * weight.value[f[cut], None]
 
     q, _ = np.linalg.qr(_sums(table, range_step, rank))
     words = (q * idf[:, None]).astype(np.float32)
@@ -210,17 +214,22 @@ def _embed(m: np.ndarray, mask: np.ndarray, words: np.ndarray) -> np.ndarray:
     return y
 
 
-def _sum_runs(x: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of the rows first[i]:first[i+1]: the k-th rows of all runs at once
-    while many runs have one, the few long ones each for itself."""
-    n, out, k = np.diff(np.append(first, len(x))), x[first], 1
-    live = np.flatnonzero(n > 1)
-    while len(live) > 256:
-        out[live] += x[first[live] + k]
+def _sum_runs(y: np.ndarray, at: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows y[at[first[i]:first[i+1]]]: the runs of LONG rows or
+    more by a product with their counts of rows, the others step by step."""
+    n, out = np.diff(np.append(first, len(at))), y[at[first]]
+    live, k = np.flatnonzero((n > 1) & (n < LONG)), 1
+    while len(live):
+        out[live] += y[at[first[live] + k]]
         k += 1
         live = live[n[live] > k]
-    for i in live.tolist():
-        out[i] += x[first[i] + k:first[i] + n[i]].sum(axis=0)
+    long = np.flatnonzero(n >= LONG)
+    step = max(1, (1 << 21) // len(y))  # cells of counts held at a time
+    for a in range(0, len(long), step):
+        i = long[a:a + step]
+        where = at[np.repeat(first[i] - np.cumsum(n[i]) + n[i], n[i]) + np.arange(n[i].sum())]
+        cell = np.repeat(np.arange(len(i)) * len(y), n[i]) + where
+        out[i] = np.bincount(cell, minlength=len(i) * len(y)).astype(np.float32).reshape(len(i), -1) @ y
     return out
 
 
@@ -228,18 +237,24 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=-1, keepdims=True), 1e-12)
 
 
-def lcs(a: list[int], b: list[int]) -> int:
-    """Length of the longest common subsequence, bit-parallel over `a`."""
+def places(a: list[int]) -> dict[int, int]:
+    """Where each word of `a` stands, as bits."""
     masks: dict[int, int] = {}
     for i, x in enumerate(a):
         masks[x] = masks.get(x, 0) | 1 << i
+    return masks
+
+
+def lcs(a: list[int], b: list[int], masks: dict[int, int] | None = None) -> int:
+    """Length of the longest common subsequence, bit-parallel over `a` (`masks`: its places)."""
+    masks = places(a) if masks is None else masks
     full = (1 << len(a)) - 1
     v = full
     for y in b:
-        u = v & masks.get(y, 0)
-        if u:
+        if y in masks:
+            u = v & masks[y]
             v = ((v + u) | (v - u)) & full
-    return len(a) - bin(v).count("1")
+    return len(a) - v.bit_count()
 
 
 def need(part: np.ndarray, words: int, parts: int) -> int:
@@ -270,6 +285,7 @@ class Items:
                 self.query_item.append(i)
                 parts.append(p)
         self.query_item = np.array(self.query_item)
+        self.places = [(places(w), places(a)) for w, a in zip(self.words, self.answers)]
         self.parts = parts
         #: words that a passage must share, by query
         self.need = np.array([need(p, len(words[i]), int(n)) for p, i, n in
@@ -296,21 +312,23 @@ class Items:
     def within_reach(self, count: np.ndarray, row: np.ndarray) -> np.ndarray:
         """(half passage, item): some stretch around it has half passages with
         enough of the item's words. `row`: the text of each half passage."""
-        total = np.zeros((len(count) + 1, len(self.words)), np.int32)
-        np.cumsum(count, axis=0, out=total[1:])
         start, end = np.searchsorted(row, row, "left"), np.searchsorted(row, row, "right")
         at = np.arange(len(row))
         out = np.empty(count.shape, bool)
         size = np.array([len(w) for w in self.words])
-        for n in np.unique(size).tolist():  # items of one length at once
-            i = np.flatnonzero(size == n)
-            halves = -(-(n + n // 2 + 1) // HALF) + 1  # that a stretch can touch
+        halves = -(-(size + size // 2 + 1) // HALF) + 1  # that a stretch can touch
+        reach = -(-2 * size // HALF) + 1
+        # sums that wrap around still give the differences, which are smaller
+        kind = np.uint16 if size.max(initial=0) < 1 << 14 else np.uint32
+        total = np.zeros((len(count) + 1, len(self.words)), kind)
+        np.cumsum(count, axis=0, dtype=kind, out=total[1:])
+        for h, r in sorted(set(zip(halves.tolist(), reach.tolist()))):  # items of like length at once
+            i = np.flatnonzero((halves == h) & (reach == r))
             mine = np.ascontiguousarray(total[:, i])
-            sums = mine[np.minimum(at + halves, end)] - mine[:-1]
-            good = np.zeros((len(row) + 1, len(i)), np.int32)
-            np.cumsum(sums >= self.least[i], axis=0, out=good[1:])
-            reach = -(-2 * n // HALF) + 1
-            out[:, i] = good[np.minimum(at + reach + 2, end)] > good[np.maximum(at - reach, start)]
+            sums = mine[np.minimum(at + h, end)] - mine[:-1]
+            good = np.zeros((len(row) + 1, len(i)), kind)
+            np.cumsum(sums >= self.least[i].astype(kind), axis=0, dtype=kind, out=good[1:])
+            out[:, i] = good[np.minimum(at + r + 2, end)] != good[np.maximum(at - r, start)]
         return out
 
     def word_by_word(self, dense: np.ndarray, row: np.ndarray, p: np.ndarray, i: np.ndarray) -> np.ndarray:
@@ -345,9 +363,9 @@ class Items:
         enough = held[np.minimum(starts + size, len(region))] - held[starts] >= self.least[i]
         for a in starts[enough].tolist():
             part = region[a:a + size].tolist()
-            full = lcs(w, part) / len(w)
+            full = lcs(w, part, self.places[i][0]) / len(w)
             if full >= PARAPHRASE:
-                answer = lcs(self.answers[i], part) / len(self.answers[i])
+                answer = lcs(self.answers[i], part, self.places[i][1]) / len(self.answers[i])
                 if (full >= VERBATIM or answer >= ANSWER) and (best is None or (full, answer) > best):
                     best = full, answer
         return best
@@ -375,7 +393,7 @@ def _search(table: DataFrame, words: np.ndarray, items: Items) -> DataFrame:
             count = it.counts(dense)
             both = count.copy()  # words of the whole passage that stand in the item
             both[:-1][pair[:-1]] += count[1:][pair[:-1]]
-            may = it.within_reach(count, row)[:, it.query_item] & (both[:, it.query_item] >= it.need)
+            may = it.within_reach(count, row).take(it.query_item, 1) & (both.take(it.query_item, 1) >= it.need.astype(np.int16))
             hit_p, hit_q = np.nonzero((whole @ queries >= COSINE) & may)
             words = np.zeros((len(m), 2 * HALF), np.int32)
             words[:, :HALF] = dense
