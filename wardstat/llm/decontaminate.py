@@ -49,7 +49,6 @@ COSINE, SHARED = 0.2, 0.5
 VERBATIM, PARAPHRASE, ANSWER = 0.9, 0.7, 0.5
 TASK_BYTES = 32 << 20     # word ids that a task adds up
 FAN = 64                  # partial sums that meet in one group
-LONG = 24                 # rows of a run that is summed by a product
 BLOCKS = 64               # row blocks in which partial sums travel
 
 _PUNCT = np.zeros(256, bool)
@@ -215,21 +214,16 @@ def _embed(m: np.ndarray, mask: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 def _sum_runs(y: np.ndarray, at: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of the rows y[at[first[i]:first[i+1]]]: the runs of LONG rows or
-    more by a product with their counts of rows, the others step by step."""
-    n, out = np.diff(np.append(first, len(at))), y[at[first]]
-    live, k = np.flatnonzero((n > 1) & (n < LONG)), 1
-    while len(live):
-        out[live] += y[at[first[live] + k]]
+    """Sums of the rows y[at[first[i]:first[i+1]]]: the k-th rows of all runs at
+    once while many runs have one, the few long ones each for itself."""
+    n, out, k = np.diff(np.append(first, len(at))), y.take(at[first], 0), 1
+    live = np.flatnonzero(n > 1)
+    while len(live) > 256:
+        out[live] += y.take(at[first[live] + k], 0)
         k += 1
         live = live[n[live] > k]
-    long = np.flatnonzero(n >= LONG)
-    step = max(1, (1 << 21) // len(y))  # cells of counts held at a time
-    for a in range(0, len(long), step):
-        i = long[a:a + step]
-        where = at[np.repeat(first[i] - np.cumsum(n[i]) + n[i], n[i]) + np.arange(n[i].sum())]
-        cell = np.repeat(np.arange(len(i)) * len(y), n[i]) + where
-        out[i] = np.bincount(cell, minlength=len(i) * len(y)).astype(np.float32).reshape(len(i), -1) @ y
+    for i in live.tolist():
+        out[i] += y.take(at[first[i] + k:first[i] + n[i]], 0).sum(axis=0)
     return out
 
 
